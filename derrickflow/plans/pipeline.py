@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from derrickflow.functions.ids import identity, spelled
 from derrickflow.functions.times import iso_seconds, micros_ntz
-from derrickflow.operators import compaction, exactly_once, late_events, regular_grid
-from derrickflow.session import stored_bytes
+from derrickflow.operators import compaction, exactly_once, late_events, parse, regular_grid, spikes
+from derrickflow.session import split_bytes, stored_bytes
 from derrickflow.sources.telemetry import registered, table, usable
 
 
@@ -42,6 +42,44 @@ def p2_hourly(spark: SparkSession, folder: str) -> DataFrame:
     return h.select("esp_id", iso_seconds(F.col("period")).alias("hour_start"), "n_first", "n", F.round("total", 2).alias("total_flow"), "low", "high")
 
 
+def _flags(spark: SparkSession, folder: str) -> DataFrame:
+    """Flags of the usable readings of running pumps; of an event's rows the first to arrive counts (ties: the least values)."""
+    fields = list(spikes.POSSIBLE)
+    first = F.min(F.struct(F.coalesce("arrived", F.lit((1 << 63) - 1)).alias("a"), F.xxhash64("source_uri").alias("u"), "esp_id", "ts", *fields)).alias("r")
+    readings = _usable(spark, folder).where("status = 'RUNNING'").groupBy("id").agg(first).select("id", "r.esp_id", "r.ts", *[f"r.{f}" for f in fields])
+    splits = -(-stored_bytes(spark, f"{folder}/telemetry.parquet") // split_bytes(spark))
+    return spikes.implausible(readings, partitions=max(2 * spark.sparkContext.defaultParallelism, 2 * splits))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings and fields that are impossible, stuck or spikes."""
+    return _flags(spark, folder).select(spelled(F.col("id")).alias("event_id"), "field").distinct()
+
+
+def p3_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """Flags per pump field and kind."""
+    return _flags(spark, folder).groupBy("field", "kind").agg(F.count("*").alias("n"))
+
+
+def _parsed(spark: SparkSession, folder: str) -> DataFrame:
+    return parse.parse_lines(table(spark, folder, "raw_lines"), registered(spark, folder))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that are no valid event, with the first rule they break."""
+    return parse.rejected(_parsed(spark, folder)).select("source_uri", "line_no", "rule_id")
+
+
+def p4_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejected events by rule and reason."""
+    return parse.rejected(_parsed(spark, folder)).groupBy("rule_id", "reason").agg(F.count("*").alias("n"))
+
+
+def p4_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The valid events, typed."""
+    return parse.accepted(_parsed(spark, folder))
+
+
 def delivery_order(telemetry: DataFrame) -> F.Column:
     """Text that sorts deliveries by arrival (unknown last), object and content."""
     arrived = F.coalesce(micros_ntz(F.col("ingested_at")), F.lit((1 << 63) - 1))
@@ -81,7 +119,7 @@ def p6_series(spark: SparkSession, folder: str) -> DataFrame:
     return g.select("esp_id", iso_seconds(F.col("slot")).alias("slot_start"), "status", "n", F.round("rate", 6).alias("flow_rate"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_compacted, p2_found, p2_hourly, p5_found, p5_events, p6_found, p6_series)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_compacted, p2_found, p2_hourly, p3_found, p3_flags, p4_found, p4_rejected, p4_events, p5_found, p5_events, p6_found, p6_series)}
 
 _UUID = "right(regexp_replace(lower(event_id), '[^0-9a-f]', '', 'g'), 32)"
 _ID = f"""(CASE WHEN trim(coalesce(event_id, '')) = '' THEN NULL ELSE concat_ws('-', substr({_UUID}, 1, 8), substr({_UUID}, 9, 4),
