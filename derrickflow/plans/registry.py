@@ -6,16 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from derrickflow.plans import pipeline
+from derrickflow.plans import pipeline, telemetry, telemetry_sql
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    return pipeline.p2_hourly(spark, folder)
+    return telemetry.daily_kpi(spark, folder)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(pipeline.QUERIES)
+    return telemetry.Q | pipeline.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(pipeline.SQL)
+    return telemetry_sql.SQL | pipeline.SQL
