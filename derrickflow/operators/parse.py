@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from derrickflow.functions import contract
+from derrickflow.functions.times import iso_micros
 from derrickflow.operators import automaton as A
 
 TEXTS = ("event_id", "timestamp", "esp_id", "source", "run_id", "status", "scenario")
@@ -212,8 +213,7 @@ def parse_lines(lines: DataFrame, pumps: DataFrame) -> DataFrame:
 
     known = pumps.select(F.col("esp_id").alias("known_id"))
     rows = body.mapInPandas(typed, TYPED).join(known, F.col("esp_id") == F.col("known_id"), "left")
-    judged = rows.withColumn("v", contract.verdict(F.col("known_id").isNotNull(), F.col("ts"), F.col("malformed"), F.col("version_text")))
-    return judged.select(*rows.columns[:-1], "v.rule_id", "v.reason")
+    return contract.judge(rows, F.col("known_id").isNotNull(), F.col("ts"), F.col("malformed"), F.col("version_text")).drop("known_id")
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
@@ -224,7 +224,5 @@ def rejected(parsed: DataFrame) -> DataFrame:
 
 def accepted(parsed: DataFrame) -> DataFrame:
     """The valid events, typed, with their time in the contract's normal form."""
-    from derrickflow.functions.times import iso_micros
-
     cols = [iso_micros(F.col("ts")).alias(c) if c == "timestamp" else F.col(c).cast("int").alias(c) if c == "schema_version" else F.col(c) for c in contract.FIELDS]
     return parsed.where(F.col("rule_id") == contract.OK).select(*cols, "source_uri", "source_kind", "ingested_at", "line_no")

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from derrickflow.functions import contract
 from derrickflow.functions.ids import identity, spelled
 from derrickflow.functions.times import iso_micros, micros
+from derrickflow.session import materialise
 
 INVALID, OUT_OF_SCOPE, CONFLICTING, DUPLICATE, SILVER = "INVALID", "OUT_OF_SCOPE", "CONFLICT", "DUPLICATE", "SILVER"
+NUMBERS = contract.REQUIRED_NUMBERS + contract.OPTIONAL_NUMBERS
 PROVENANCE = ("source_uri", "source_kind", "ingested_at")
 
 
@@ -34,8 +36,8 @@ def validated(rows: DataFrame, pumps: DataFrame) -> DataFrame:
     """rows with rule_id, reason, id (identity), ts (microseconds) and event_date (UTC); the join can't multiply rows."""
     known = pumps.select(F.col("esp_id").alias("_known")).distinct()
     r = rows.withColumns({"id": identity(F.col("event_id")), "ts": micros(F.col("timestamp"))})
-    r = r.join(known, F.col("esp_id") == F.col("_known"), "left").withColumn("_v", contract.verdict(F.col("_known").isNotNull(), F.col("ts")))
-    return r.withColumns({"rule_id": F.col("_v.rule_id"), "reason": F.col("_v.reason"), "event_date": F.to_date(F.timestamp_micros("ts"))}).drop("_v", "_known")
+    r = contract.judge(r.join(known, F.col("esp_id") == F.col("_known"), "left"), F.col("_known").isNotNull(), F.col("ts"))
+    return r.withColumn("event_date", F.to_date(F.timestamp_micros("ts"))).drop("_known")
 
 
 def payload() -> Column:
@@ -44,6 +46,11 @@ def payload() -> Column:
     return F.to_json(F.struct(*[norm.get(f, F.col(f)).alias(f) for f in contract.FIELDS]), {"ignoreNullFields": "false"})
 
 
+def fingerprint() -> Column:
+    """64 bits of the payload, to tell whether rows of one identity differ: nulls and NaN are told apart from values."""
+    return F.xxhash64("id", "ts", *[F.coalesce(F.col(f).cast("string") if f == "schema_version" else F.col(f), F.lit("\0") if f not in NUMBERS else F.lit(-1.7e308)) for f in contract.FIELDS if f not in ("event_id", "timestamp")])
+
+
 def in_window(start: str, end: str, lookback_days: int) -> Column:
     """Whether event_date lies in start - lookback .. end; false for a null date."""
     if lookback_days < 0 or start > end:
@@ -52,36 +59,37 @@ def in_window(start: str, end: str, lookback_days: int) -> Column:
 
 
 def dispositions(rows: DataFrame, start: str, end: str, lookback_days: int = 1) -> DataFrame:
-    """Validated, placed rows with one disposition each, and payload_sha256 of those that are eligible.
+    """Validated, placed rows with one disposition each.
 
     Eligible are valid rows in the window. Of their equal identities with one payload the first source_uri (then ingested_at)
     is SILVER and the others are DUPLICATE; all rows of an identity with several payloads are CONFLICT. Identities are profiled by a partial
     aggregation and joined back, so that one identity with very many copies burdens no task.
     """
     scoped = in_window(start, end, lookback_days)
-    r = rows.withColumn("_elig", (F.col("rule_id") == contract.OK) & scoped)
-    rest = r.where(~F.col("_elig")).withColumn("disposition", F.when(F.col("rule_id") != contract.OK, INVALID).otherwise(OUT_OF_SCOPE)).withColumn("payload_sha256", F.lit(None).cast("string"))
-    e = r.where("_elig").withColumn("payload_sha256", F.sha2(payload(), 256))
+    # three branches read the verdicts: they are written once, as filters would have the whole chain evaluated again in each
+    r = materialise(rows.withColumns({"_elig": (F.col("rule_id") == contract.OK) & scoped, "_print": fingerprint()}), "verdicts")
+    rest = r.where(~F.col("_elig")).withColumn("disposition", F.when(F.col("rule_id") != contract.OK, INVALID).otherwise(OUT_OF_SCOPE))
+    e = r.where("_elig")
     profile = identity_profile(e)
     j = e.join(profile.select("id", "n_payloads", F.col("first").alias("_first")), "id")
     won = F.coalesce(F.col("source_uri").eqNullSafe(F.col("_first.source_uri")) & F.col("ingested_at").eqNullSafe(F.col("_first.ingested_at")) & (F.col("_place") == F.col("_first._place")), F.lit(False))
     j = j.withColumn("disposition", F.when(F.col("n_payloads") > 1, CONFLICTING).when(won, SILVER).otherwise(DUPLICATE))
-    return j.drop("n_payloads", "_first", "_place", "_elig").unionByName(rest.drop("_elig", "_place"))
+    return j.drop("n_payloads", "_first", "_place", "_elig", "_print").unionByName(rest.drop("_elig", "_place", "_print"))
 
 
 def identity_profile(eligible: DataFrame) -> DataFrame:
-    """Per identity: deliveries, whether there is more than one payload (n_payloads is 1 or 2, which stands for more), and the first row's place."""
+    """Per identity of rows with _print and _place: deliveries, whether there is more than one payload (n_payloads is 1 or 2, which stands for more), and the first row's place."""
     return eligible.groupBy("id").agg(
         F.count("*").alias("n"),
-        F.when(F.min("payload_sha256") != F.max("payload_sha256"), 2).otherwise(1).alias("n_payloads"),
+        F.when(F.min("_print") != F.max("_print"), 2).otherwise(1).alias("n_payloads"),
         F.min(F.struct("source_uri", "ingested_at", "_place")).alias("first"),
     )
 
 
 def silver(disposed: DataFrame, dim: DataFrame, run_id: str = "run", manifest_sha256: str = "") -> DataFrame:
-    """Canonical rows with their pump's metadata (left join: null where there is none), identity and time in normal form."""
+    """Canonical rows with payload_sha256 and their pump's metadata (left join: null where there is none), identity and time in normal form."""
     s = disposed.where(F.col("disposition") == SILVER)
-    norm = {"event_id": spelled(F.col("id")), "timestamp": iso_micros(F.col("ts")), "event_ts": F.timestamp_micros("ts")}
+    norm = {"payload_sha256": F.sha2(payload(), 256), "event_id": spelled(F.col("id")), "timestamp": iso_micros(F.col("ts")), "event_ts": F.timestamp_micros("ts")}
     s = s.withColumns(norm).drop("id", "ts", "disposition", "rule_id", "reason")
     return s.join(dim, "esp_id", "left").withColumns({"publication_run_id": F.lit(run_id), "manifest_sha256": F.lit(manifest_sha256)})
 

@@ -105,7 +105,7 @@ def window_lookback(spark, folder):
 @query
 def identity_profile(spark, folder):
     v = _validated(spark, folder).where((F.col("rule_id") == contract.OK) & pub.in_window(START, END, LOOKBACK))
-    p = pub.identity_profile(v.withColumn("payload_sha256", F.sha2(pub.payload(), 256)))
+    p = pub.identity_profile(v.withColumn("_print", pub.fingerprint()))
     return p.where("n > 1").select(spelled(F.col("id")).alias("event_id"), "n", (F.col("n_payloads") > 1).alias("conflict"))
 
 
