@@ -18,9 +18,9 @@ from derrickflow.functions.times import DAY, SLOT, floor_to
 
 
 def increments(kind: str, before: F.Column, after: F.Column, seconds: F.Column) -> F.Column:
-    """What went by between two readings. A counter that falls has been reset to zero in between."""
+    """What went by between two readings (null without one before). A counter that falls has been reset to zero in between."""
     if kind == "counter":
-        return F.when(after >= before, after - before).otherwise(after)
+        return F.when(after < before, after).otherwise(after - before)
     if kind == "rate":
         return (before + after) / 2 * seconds
     raise ValueError(f"kind is 'rate' or 'counter', not {kind!r}")
