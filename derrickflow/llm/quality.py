@@ -147,17 +147,18 @@ def fit_prose(stats: DataFrame, rounds: int = 3, cut: float = CUT, least: int =
     for r in spread:
         scale = np.maximum([1.4826 * r[s] for s in STATS], FLOOR)
         model[r.of] = (centre[r.of], np.diag(1 / scale**2), 3.0)
+    k = len(STATS)
     for _ in range(rounds):
-        d2 = _distance(model)
-        sums = [F.count("*").alias("n")]
-        sums += [F.sum(s).alias(f"s{i}") for i, s in enumerate(STATS)]
-        sums += [F.sum(F.col(a) * F.col(b)).alias(f"p{i}_{j}") for i, a in enumerate(STATS) for j, b in enumerate(STATS) if j <= i]
-        for r in both.where(d2 <= 1.0).groupBy("of").agg(*sums).collect():
-            if r.n < least and r.of:
+        sums: dict[str, np.ndarray] = {}
+        for r in _near(both.select("of", *STATS), model, cut).groupBy("of", "k").agg(F.sum("value").alias("value")).collect():
+            sums.setdefault(r.of, np.zeros(1 + k + k * k))[r.k] = r.value
+        for of, v in sums.items():
+            n = v[0]
+            if n < least and of:
                 continue
-            mean = np.array([r[f"s{i}"] for i in range(len(STATS))]) / r.n
-            cov = np.array([[r[f"p{max(i, j)}_{min(i, j)}"] for j in range(len(STATS))] for i in range(len(STATS))]) / r.n - np.outer(mean, mean)
-            model[r.of] = (mean, np.linalg.inv(cov + FLOOR**2 * np.eye(len(STATS))), 1.0)
+            mean = v[1 : k + 1] / n
+            cov = v[k + 1 :].reshape(k, k) / n - np.outer(mean, mean)
+            model[of] = (mean, np.linalg.inv(cov + FLOOR**2 * np.eye(k)), 1.0)
     small = {r.of for r in middle if r.n < least and r.of}
     return {k: v[:2] for k, v in model.items() if k not in small}
 
@@ -170,14 +171,21 @@ def _pick(centre: dict[str, np.ndarray], i: int):
     return out
 
 
-def _distance(model) -> F.Column:
-    """Squared distance of a row from the estimate for its `of`, over the cut of that estimate's stage."""
-    out = F.lit(None).cast("double")
-    for k, (mean, inverse, wide) in model.items():
-        x = [F.col(s) - float(m) for s, m in zip(STATS, mean)]
-        d2 = sum((x[i] * x[j] * float(inverse[i, j] * (2 if j < i else 1)) for i in range(len(x)) for j in range(i + 1) if inverse[i, j]), F.lit(0.0))
-        out = F.when(F.col("of") == k, d2 / (CUT * wide)).otherwise(out)
-    return out
+def _near(both: DataFrame, model: dict, cut: float) -> DataFrame:
+    """Count, sums and sums of products of the rows within the cut of their estimate (times its stage's width): of, k, value, partial per batch."""
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            x, of = b[list(STATS)].to_numpy(float), b["of"].to_numpy(object)
+            for name in set(of) & set(model):
+                mean, inverse, wide = model[name]
+                mine = x[of == name]
+                d = mine - mean
+                mine = mine[((d @ inverse) * d).sum(1) <= cut * wide]
+                v = np.concatenate([[len(mine)], mine.sum(0), (mine.T @ mine).ravel()])
+                yield pd.DataFrame({"of": name, "k": np.arange(len(v), dtype=np.int32), "value": v})
+
+    return both.mapInPandas(add, "of string, k int, value double")
 
 
 def judged(stats: DataFrame, model: dict[str, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
