@@ -12,7 +12,8 @@ HOUR, SLOT, DAY = 3_600_000_000, 300_000_000, 86_400_000_000
 
 def micros(text: Column) -> Column:
     """Microseconds since 1970 UTC; null for null, unzoned or unreadable text (never an error)."""
-    return F.when(text.rlike(ZONED), F.unix_micros(F.try_to_timestamp(text)))
+    full = F.when(F.substring(text, 17, 1) == ":", text).otherwise(F.concat(F.substring(text, 1, 16), F.lit(":00"), F.substring(text, 17, 99)))
+    return F.when(text.rlike(ZONED), F.unix_micros(F.try_to_timestamp(full)))
 
 
 def micros_ntz(stamp: Column) -> Column:
