@@ -161,10 +161,12 @@ def compact(spark: SparkSession, path: str, key: str = "event_id", group: str =
 
     def pack(key_, left, right):
         if left.num_rows:
-            where, at = right.column("path"), right.column("row").to_numpy()
-            skip = {}
-            for p in pc.unique(where).to_pylist():
-                skip[p] = np.sort(at[pc.equal(where, p).to_numpy(zero_copy_only=False)])
+            where, skip = right.sort_by([("path", "ascending"), ("row", "ascending")]), {}
+            at, row = np.asarray(where.column("path").to_pylist(), object), where.column("row").to_numpy()
+            cuts = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist(), len(at)]
+            for i, j in zip(cuts, cuts[1:]):
+                if i < j:
+                    skip[at[i]] = row[i:j]
             out = list(_pack(key_[0].as_py(), left.column("path").to_pylist(), skip, staged, group, key))
             return pa.Table.from_pylist(out, pa.schema([("key", pa.string()), ("uri", pa.string()), ("head", pa.binary()), ("entry", pa.binary()), ("n_rows", pa.int64()), ("n_bytes", pa.int64())]))
         return pa.table({"key": pa.array([], pa.string()), "uri": pa.array([], pa.string()), "head": pa.array([], pa.binary()), "entry": pa.array([], pa.binary()), "n_rows": pa.array([], pa.int64()), "n_bytes": pa.array([], pa.int64())})

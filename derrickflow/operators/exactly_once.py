@@ -28,6 +28,8 @@ RUNS = "bucket int, uri string, block int, n_rows long, n_bytes long"
 NAMELESS = -1
 ID, ORDER, COPIES, BUCKET = "_id", "_order", "_copies", "_bucket"
 BUFFER = 48 << 20
+#: Runs merged at once. More of them are merged in several levels, each of which writes its runs.
+FAN_IN = 64
 
 
 def sorted_order(table: pa.Table) -> np.ndarray:
@@ -131,7 +133,7 @@ class Store:
     def compact(self) -> DataFrame:
         """Merge all runs; the table of exactly one row per identity (and the nameless rows), with the number of its copies in _copies."""
         catalogue = self.spark.read.schema(RUNS).option("recursiveFileLookup", "true").parquet(f"{self.folder}/catalogue")
-        folder = f"{self.folder}/merged-{uuid.uuid4().hex[:8]}"
+        folder, fan_in = f"{self.folder}/merged-{uuid.uuid4().hex[:8]}", FAN_IN
 
         def merge(table: pa.Table) -> pa.Table:
             bucket = table.column("bucket")[0].as_py()
@@ -140,30 +142,43 @@ class Store:
             def read(uri, block):
                 fs, path = resolve(uri)
                 with fs.open_input_file(path) as f:
-                    for b in pq.ParquetFile(f).iter_batches(16384, row_groups=[block]):
+                    for b in pq.ParquetFile(f).iter_batches(16384, row_groups=None if block is None else [block]):
                         yield pa.Table.from_batches([b])
 
+            def write(pieces, to) -> int:
+                rows, writer, held, n = 0, None, [], 0
+                with fs.open_output_stream(to) as sink:
+                    for t in pieces:
+                        writer = writer or pq.ParquetWriter(sink, t.schema, compression="zstd", write_statistics=[ID], store_schema=False)
+                        held.append(t)
+                        n += t.num_rows
+                        if n >= 131072:
+                            writer.write_table(pa.concat_tables(held))
+                            rows, held, n = rows + n, [], 0
+                    if held:
+                        writer.write_table(pa.concat_tables(held))
+                        rows += n
+                    writer.close()
+                return rows
+
             fs, base = resolve(folder)
             fs.create_dir(base, recursive=True)
-            part, rows, writer = f"{base}/_{uuid.uuid4().hex}", 0, None
+            fresh = lambda: f"_{uuid.uuid4().hex}"
+            made = []
+            while bucket != NAMELESS and len(runs) > fan_in:
+                groups, runs = [runs[i : i + fan_in] for i in range(0, len(runs), fan_in)], []
+                for group in groups:
+                    name = fresh()
+                    write(merge_runs([read(u, b) for u, b in group]), f"{base}/{name}")
+                    made.append(f"{base}/{name}")
+                    runs.append((f"{folder}/{name}", None))
             # the nameless need no order; they are read one run after the other
             pieces = (t for u, b in runs for t in read(u, b)) if bucket == NAMELESS else merge_runs([read(u, b) for u, b in runs])
-            with fs.open_output_stream(part) as sink:
-                held, n = [], 0
-                for t in pieces:
-                    writer = writer or pq.ParquetWriter(sink, t.schema, compression="zstd", write_statistics=[ID], store_schema=False)
-                    held.append(t)
-                    n += t.num_rows
-                    if n >= 131072:
-                        writer.write_table(pa.concat_tables(held))
-                        rows, held, n = rows + n, [], 0
-                if held:
-                    writer.write_table(pa.concat_tables(held))
-                    rows += n
-                if writer:
-                    writer.close()
-            to = f"{base}/bucket-{bucket}.parquet"
-            fs.move(part, to)
+            part = f"{base}/{fresh()}"
+            rows = write(pieces, part)
+            fs.move(part, f"{base}/bucket-{bucket}.parquet")
+            for x in made:
+                fs.delete_file(x)
             return pa.table({"bucket": pa.array([bucket], pa.int32()), "n_rows": [rows]})
 
         # a fixed number of partitions: AQE would put so small a catalogue, but not so small a work, into one task

@@ -43,3 +43,14 @@ def test_many_copies_of_one(spark):
 
 def test_no_rows(spark):
     assert exactly_once(frame(spark, []), identity(F.col("event_id")), F.lit("a"), 0) is None
+
+
+def test_more_runs_than_are_merged_at_once(spark, monkeypatch):
+    from derrickflow.operators import exactly_once as E
+
+    monkeypatch.setattr(E, "FAN_IN", 2)
+    store = Store(spark, 1)
+    for i in range(5):
+        up(store, frame(spark, [(A, i, "x", None), (None, i, "x", None), (f"{i:032x}", i, "x", None)]), str(i))
+    rows, nameless = kept(store.compact())
+    assert nameless == 5 and (A, 0, 5) in rows and len(rows) == 6
