@@ -1,6 +1,6 @@
 """Filling sequences of fixed capacity with texts: conflict-constrained best fit.
 
-Texts are dealt at random (by a hash of their id) to blocks of about block_tokens tokens, which are
+Texts are dealt at random (by a hash of their id) to blocks of about block_tokens tokens (and no more than some BLOCK_DOCS texts), which are
 packed independently and in parallel, texts with most copies first, then the longest. Within a block the open bins are kept in
 order of residual capacity; each carries a bitmap of its sources and one of its duplicate clusters.
 A text goes into the tightest bin that it fits and conflicts with in neither bitmap: the search
@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CAPACITY, BLOCK_TOKENS = 4096, 1 << 21
+CAPACITY, BLOCK_TOKENS, BLOCK_DOCS = 4096, 1 << 21, 1 << 17
 #: Sources that share no sequence with another source: a mirror's texts are those of the other sources.
 APART = ("scraped_mirror",)
 PACKED = "doc_id long, piece int, sequence long, start long, n_tokens long"
@@ -81,8 +81,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, block_tokens: int = BLOCK_TO
     source is a source of its own. No documents give no rows.
     """
     spark = docs.sparkSession
-    total = docs.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
-    blocks = max(1, -(-total // block_tokens))
+    total, n = docs.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count("*")).first()
+    blocks = max(1, -(-total // block_tokens), -(-n // BLOCK_DOCS))
     item = docs.select(
         "doc_id", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), "source", F.col("cluster").cast("long").alias("cluster"), F.col("duplicate_of").cast("long").alias("duplicate_of")
     )
