@@ -53,7 +53,7 @@ def test_small_target_makes_more_files(spark, tmp_path):
     write(spark, [(ident(i), "ESP-1", f"s3://b/{i}", "k", None) for i in range(50)], str(tmp_path / "t"), 4)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
     try:
-        done = compact(spark, str(tmp_path / "t"), target=2000)
+        done = compact(spark, str(tmp_path / "t"), target=300)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
     assert done.files.count() > 1 and spark.read.parquet(done.folder).count() == 50
