@@ -50,7 +50,7 @@ def broken(known: Column, ts: Column | None = None, malformed: Column | None = N
     return chain.otherwise(0)
 
 
-#: The rule of each check, in order, and its reason where that is the same for all rows.
+#: The rule of each check, in order, and its reason where that is the same for all rows.
 RULE_OF = (
     [MALFORMED, VERSION] + [MISSING] * 6 + [PUMP, SOURCE, STATUS, TIME] + [FINITE] * len(REQUIRED_NUMBERS) + [RANGE] * 4 + [FINITE] * len(OPTIONAL_NUMBERS)
 )
