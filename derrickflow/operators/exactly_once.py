@@ -93,14 +93,16 @@ class Store:
         """Add a batch under a name that is its own; doing so again with that name replaces the batch.
 
         Of equal identities the row of least `order` (a binary or string column, ties by all that is in it) is kept. A null
-        identity is none: such rows are kept as they are. Columns of the batch may have any names but
-        the four of this module that begin with an underscore. An empty batch adds nothing.
+        identity is none: such rows are kept as they are. A column that has one of this module's four names is carried
+        under that name with _given behind it. An empty batch adds nothing.
         """
-        clash = {ID, ORDER, COPIES, BUCKET} & set(batch.columns)
-        if clash:
-            raise ValueError(f"reserved column names: {sorted(clash)}")
+        own, names = {ID, ORDER, COPIES, BUCKET}, {}
+        for c in batch.columns:
+            names[c] = c
+            while names[c].lower() in own or (names[c] != c and names[c] in batch.columns):
+                names[c] += "_given"
         n, nameless = self.buckets, NAMELESS
-        ready = batch.withColumns({ID: identity, ORDER: order}).withColumns(
+        ready = batch.select(*[F.col(f"`{c}`").alias(to) for c, to in names.items()], identity.alias(ID), order.alias(ORDER)).withColumns(
             {BUCKET: F.when(F.col(ID).isNull(), nameless).otherwise(F.pmod(F.xxhash64(ID), F.lit(n))).cast("int"), COPIES: F.lit(1).cast("long")}
         )
         folder = f"{self.folder}/runs"

@@ -54,3 +54,11 @@ def test_more_runs_than_are_merged_at_once(spark, monkeypatch):
         up(store, frame(spark, [(A, i, "x", None), (None, i, "x", None), (f"{i:032x}", i, "x", None)]), str(i))
     rows, nameless = kept(store.compact())
     assert nameless == 5 and (A, 0, 5) in rows and len(rows) == 6
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame([(A, 1, 2, "q"), (A, 0, 3, "r")], "event_id string, n int, _id int, _copies string")
+    store = Store(spark, 2)
+    up(store, df, "one")
+    row = store.compact().first()
+    assert (row.n, row._id_given, row._copies_given, row._copies) == (0, 3, "r", 2)
