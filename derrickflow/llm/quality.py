@@ -106,9 +106,9 @@ def statistics(text: str, frequent: dict[str, frozenset[str]]) -> tuple:
 
 
 def measured(docs: DataFrame, frequent: dict[str, frozenset[str]], text: str = "text") -> DataFrame:
-    """docs without its text, with TEXT_STATS. Null, empty and blank texts have null statistics."""
-    rest = [c for c in docs.columns if c != text]
+    """docs without its text, with TEXT_STATS, which replace columns of these names. Null, empty and blank texts have null statistics."""
     names = [x.split()[0] for x in TEXT_STATS.split(", ")]
+    rest = [c for c in docs.columns if c != text and c not in names]
     schema = StructType(list(docs.select(*rest).schema.fields))
     for x in TEXT_STATS.split(", "):
         schema = schema.add(*x.split())
@@ -191,8 +191,10 @@ def _near(both: DataFrame, model: dict, cut: float) -> DataFrame:
 def judged(stats: DataFrame, model: dict[str, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
     """stats with distance (squared Mahalanobis), c_<statistic> (contributions, which sum to it), and outlier (distance over CUT).
 
-    Documents without statistics have null distance and are no outliers.
+    Documents without statistics have null distance and are no outliers. Columns of these names are replaced.
     """
+    own = {"distance", "outlier", *[f"c_{s}" for s in STATS]}
+    stats = stats.select(*[c for c in stats.columns if c not in own])
     schema = StructType(list(stats.schema.fields)).add("distance", "double")
     for s in STATS:
         schema = schema.add(f"c_{s}", "double")

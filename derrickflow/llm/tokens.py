@@ -51,9 +51,9 @@ def counter(path: str) -> Callable[[list[str]], list[int]]:
 
 
 def sized(docs: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
-    """docs without its text, with n_tokens (long): of the whole text; 0 for an empty and for a null one."""
+    """docs without its text, with n_tokens (long): of the whole text; 0 for an empty and for a null one. A column of that name is replaced."""
     path = path or default_path()
-    rest = [c for c in docs.columns if c != text]
+    rest = [c for c in docs.columns if c not in (text, "n_tokens")]
     schema = StructType(list(docs.select(*rest).schema.fields)).add("n_tokens", "long")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

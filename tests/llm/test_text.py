@@ -21,7 +21,7 @@ def docs(spark, rows):
 
 def test_token_counts_of_whole_texts(spark):
     texts = ["", None, "a b  c", "é<|endoftext|>", "word " * 20000]
-    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id int, text string, n_chars int")
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id int, text string, n_tokens int")
     got = {r.doc_id: r.n_tokens for r in tokens.sized(df).collect()}
     of = tokens.counter(tokens.default_path())
     assert got == {i: of([t])[0] if t else 0 for i, t in enumerate(texts)} and got[4] >= 20000
@@ -174,8 +174,8 @@ def test_statistics_of_odd_texts():
 def test_distance_against_numpy(spark):
     rng = np.random.default_rng(0)
     prose = ["The pump was " + " ".join(rng.choice(["cold", "and", "it", "is", "the", "valve", "not", "of"], 30)) + "." for _ in range(300)]
-    rows = [(i, t, 5) for i, t in enumerate([*prose, "1;2;3\n4;5;6\n7;8;9", None, "", " "])]
-    df = spark.createDataFrame(rows, "doc_id int, text string, n_words_before int")
+    rows = [(i, t, 5, "x") for i, t in enumerate([*prose, "1;2;3\n4;5;6\n7;8;9", None, "", " "])]
+    df = spark.createDataFrame(rows, "doc_id int, text string, n_words int, distance string")
     stats = quality.measured(df, WORDS)
     model = quality.fit_prose(stats)
     got = {r.doc_id: r for r in quality.judged(stats, model).collect()}
