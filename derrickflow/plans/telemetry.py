@@ -13,7 +13,7 @@ from derrickflow.operators import alerts, reconcile, state
 from derrickflow.operators import publication as pub
 from derrickflow.plans import publish
 from derrickflow.session import materialise, scratch
-from derrickflow.sources import landing
+from derrickflow.sources import archive, landing
 from derrickflow.sources.telemetry import registered, table, usable
 from derrickflow.streaming import lanes
 
@@ -297,6 +297,19 @@ def inventory_join(spark, folder):
     return t.groupBy("source_kind", F.coalesce("listed", F.lit(False)).alias("listed"), F.coalesce("hashed", F.lit(False)).alias("hashed")).agg(F.count("*").alias("n"))
 
 
+@query
+def key_lookup(spark, folder):
+    """The latest states of three given pumps, in the given order."""
+    return archive.lookup(_latest(spark, folder), "esp_id", ["ESP-101", "ESP-102", "ESP-103"]).select("esp_id", "status", "flow_rate")
+
+
+@query
+def archive_paths(spark, folder):
+    """Raw archive paths of the valid realtime events."""
+    v = _valid(spark, folder)
+    return v.select(archive.archive_path(F.col("esp_id"), F.col("ts"), spelled(F.col("id"))).alias("path")).distinct()
+
+
 @query
 def freshness_state(spark, folder):
     s = _latest(spark, folder).select("esp_id", "arrived")

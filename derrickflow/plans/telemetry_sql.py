@@ -127,6 +127,8 @@ SELECT source_uri, source_kind, object_last_modified_utc, size_bytes FROM k WHER
     "prefix_usage": r"SELECT regexp_extract(source_uri, '^s3://[^/]+/[^/]+/[^/]+/') AS prefix, count(*)::BIGINT AS n_objects, coalesce(sum(size_bytes), 0)::BIGINT AS n_bytes FROM source_inventory GROUP BY 1",
     "inventory_join": """WITH k AS (SELECT source_uri, source_sha256 IS NOT NULL AS hashed, row_number() OVER (PARTITION BY source_uri ORDER BY object_last_modified_utc DESC NULLS LAST, source_sha256 DESC NULLS LAST, size_bytes DESC NULLS LAST) AS k FROM source_inventory WHERE source_uri IS NOT NULL)
 SELECT t.source_kind, k.source_uri IS NOT NULL AS listed, coalesce(hashed, false) AS hashed, count(*)::BIGINT AS n FROM telemetry AS t LEFT JOIN k ON k.source_uri = t.source_uri AND k.k = 1 GROUP BY 1, 2, 3""",
+    "key_lookup": f"WITH {_L} SELECT esp_id, status, flow_rate FROM l WHERE esp_id IN ('ESP-101', 'ESP-102', 'ESP-103')",
+    "archive_paths": f"WITH {_V}, {_RT} SELECT DISTINCT 'raw/realtime/' || esp_id || '/' || strftime(ts, '%Y/%m/%d/%H') || '/' || id || '.json' AS path FROM rt",
     "freshness_state": f"WITH {_L}, a AS (SELECT esp_id, (max(arrived) OVER () - arrived) / 1e6 AS age FROM l) SELECT esp_id, CASE WHEN age < 10 THEN 'fresh' WHEN age < 45 THEN 'stale' ELSE 'unavailable' END AS state FROM a",
     "replay_dry_run": f"WITH {_V} SELECT CASE WHEN rule_id = 'OK' THEN 'would_process' ELSE 'would_quarantine' END AS outcome, count(*)::BIGINT AS n FROM v GROUP BY 1",
     "five_min_windows": f"WITH {_D} SELECT esp_id, strftime(time_bucket(INTERVAL 5 MINUTE, ts), '%Y-%m-%dT%H:%M:%SZ') AS window_start, count(*)::BIGINT AS n FROM s WHERE source = 'realtime' GROUP BY 1, 2",
