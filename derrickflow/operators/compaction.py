@@ -140,8 +140,8 @@ def _pack(unit: int, paths: list[str], skip: dict[str, np.ndarray], folder: str,
         yield from flush()
 
 
-def compact(spark: SparkSession, path: str, key: str = "event_id", group: str = "esp_id", object_: str = "source_uri", target: int = TARGET) -> Compacted:
-    """Consolidate the Parquet table at path (a file or a folder of files) into few files per group.
+def compact(spark: SparkSession, path: str, key: str = "event_id", group: str = "esp_id", object_: str = "source_uri", target: int = TARGET, folder: str | None = None) -> Compacted:
+    """Consolidate the Parquet table at path (a file or a folder of files) into few files per group, in folder (default: a scratch folder).
 
     Every id of `key` is kept once, rows without id all stay, whole and unchanged. Rows with a null
     group form a group of their own. An empty table gives no files. Columns other than key, group and
@@ -175,7 +175,7 @@ def compact(spark: SparkSession, path: str, key: str = "event_id", group: str =
     left, right = (t.repartition(2 * units, "unit").groupBy("unit") for t in (files.select("path", unit), surplus.select("path", "row", unit)))
     packed = left.cogroup(right).applyInArrow(pack, BLOCKS)
     blocks = materialise(packed, "catalogue")
-    folder = scratch(spark, "compacted")
+    folder = folder or scratch(spark, "compacted")
     tasks = 2 * max(spark.sparkContext.defaultParallelism, n_bytes // target)
     report = materialise(join_blocks(blocks, folder, target, tasks), "report")
     lost = again.where("ord <> kept").count()

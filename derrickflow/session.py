@@ -10,7 +10,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from derrickflow.sources.files import remove
+
 _own: dict[str, str] = {}
+_kept: set[str] = set()
 
 
 def build(master: str = "local[*]", name: str = "derrickflow", **conf: str) -> SparkSession:
@@ -50,8 +53,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, what: str) -> str:
-    """URI of a new, unused folder for a written table in the shared folder."""
-    return f"{shared_dir(spark)}/derrickflow/{what}-{uuid.uuid4().hex[:12]}"
+    """URI of a new, unused folder for a written table in the shared folder.
+
+    It lies below the application's own folder, which is removed when the driver's Python ends:
+    what is to stay is written elsewhere.
+    """
+    app = f"{shared_dir(spark)}/derrickflow/{spark.sparkContext.applicationId}"
+    if app not in _kept:
+        _kept.add(app)
+        atexit.register(_forget, app)
+    return f"{app}/{what}-{uuid.uuid4().hex[:12]}"
+
+
+def _forget(folder: str) -> None:
+    try:
+        remove(folder)
+    except OSError:
+        pass
 
 
 def split_bytes(spark: SparkSession) -> int:
