@@ -51,17 +51,21 @@ def fingerprint() -> Column:
     return F.xxhash64("id", "ts", *[F.coalesce(F.col(f).cast("string") if f == "schema_version" else F.col(f), F.lit("\0") if f not in NUMBERS else F.lit(-1.7e308)) for f in contract.FIELDS if f not in ("event_id", "timestamp")])
 
 
-def in_window(start: str, end: str, lookback_days: int) -> Column:
-    """Whether event_date lies in start - lookback .. end; false for a null date."""
+def in_window(start: str | None, end: str | None, lookback_days: int) -> Column:
+    """Whether event_date lies in start - lookback .. end; false for a null date. Without start and end every date does."""
+    if start is None and end is None:
+        return F.col("event_date").isNotNull()
+    if start is None or end is None:
+        raise ValueError("a window has both a start and an end, or neither")
     if lookback_days < 0 or start > end:
         raise ValueError("the window's start must not be after its end, nor the lookback negative")
     return F.coalesce(F.col("event_date").between(F.date_sub(F.to_date(F.lit(start)), lookback_days), F.to_date(F.lit(end))), F.lit(False))
 
 
-def dispositions(rows: DataFrame, start: str, end: str, lookback_days: int = 1) -> DataFrame:
+def dispositions(rows: DataFrame, start: str | None = None, end: str | None = None, lookback_days: int = 1) -> DataFrame:
     """Validated, placed rows with one disposition each.
 
-    Eligible are valid rows in the window. Of their equal identities with one payload the first source_uri (then ingested_at)
+    Eligible are valid rows in the window, by default all of them. Of their equal identities with one payload the first source_uri (then ingested_at)
     is SILVER and the others are DUPLICATE; all rows of an identity with several payloads are CONFLICT. Identities are profiled by a partial
     aggregation and joined back, so that one identity with very many copies burdens no task.
     """

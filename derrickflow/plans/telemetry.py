@@ -17,7 +17,7 @@ from derrickflow.sources import archive, landing
 from derrickflow.sources.telemetry import registered, table, usable
 from derrickflow.streaming import lanes
 
-#: The window of the batch queries.
+#: The window of window_lookback and object_selection; all other queries take every event date of the table.
 START, END, LOOKBACK = "2024-01-02", "2024-01-02", 1
 steady = pub.steady
 
@@ -27,7 +27,7 @@ def _validated(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _disposed(spark: SparkSession, folder: str) -> DataFrame:
-    return pub.dispositions(_validated(spark, folder), START, END, LOOKBACK)
+    return pub.dispositions(_validated(spark, folder))
 
 
 def _silver(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,7 +104,7 @@ def window_lookback(spark, folder):
 
 @query
 def identity_profile(spark, folder):
-    v = _validated(spark, folder).where((F.col("rule_id") == contract.OK) & pub.in_window(START, END, LOOKBACK))
+    v = _validated(spark, folder).where((F.col("rule_id") == contract.OK) & pub.in_window(None, None, 0))
     p = pub.identity_profile(v.withColumn("_print", pub.fingerprint()))
     return p.where("n > 1").select(spelled(F.col("id")).alias("event_id"), "n", (F.col("n_payloads") > 1).alias("conflict"))
 
