@@ -54,20 +54,20 @@ def once(readings: DataFrame, delay: str = "8 hours") -> DataFrame:
 def hourly(spark: SparkSession, readings: DataFrame, folder: str) -> DataFrame:
     """Hourly counts of a stream of usable readings by conflict-free counters: esp_id, period, n, total.
 
-    Every batch writes the counters of its own source (its number), of which a retry makes a second version
-    that replaces the first; the aggregate is the sum over sources.
+    Every batch writes the first arrivals of its own events; a retry replaces them. An event counts by the earliest
+    of its copies in all batches, in time for the cut-off or not, so neither the order of files and rows
+    nor their split into batches matters, and there is no watermark to fall behind.
     """
-    unique = once(readings.where("arrived is not null"))
 
     def each(batch: DataFrame, number: int) -> None:
-        e = batch.withColumn("period", floor_to(F.col("ts"), HOUR)).withColumn("v", F.when(~F.isnan("flow_rate"), F.col("flow_rate")))
-        e = e.where(F.col("arrived") - F.col("period") - HOUR <= late_events.CUT_OFF)
-        c = e.groupBy("esp_id", "period").agg(F.count("*").alias("n"), F.count("v").alias("n_values"), F.sum("v").alias("total"), F.min("v").alias("low"), F.max("v").alias("high"))
-        c.withColumns({"shard": F.lit(number), "version": F.lit(0)}).write.mode("overwrite").parquet(f"{folder}/counters/batch={number}")
-
-    run(unique, each, f"{folder}/checkpoint")
-    counters = spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/counters")
-    return late_events.read(late_events.merge(counters)).select("esp_id", "period", "n", "total")
+        a = late_events.arrivals(batch)
+        # a copy after the cut-off counts nothing, whatever other copies there are
+        a.where(F.col("arrived") - F.col("period") - HOUR <= late_events.CUT_OFF).write.mode("overwrite").parquet(f"{folder}/arrivals/batch={number}")
+
+    run(readings.select("id", "esp_id", "ts", "arrived", "flow_rate"), each, f"{folder}/checkpoint")
+    some = spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/arrivals")
+    first = late_events.arrivals(some.select("id", "esp_id", F.col("period").alias("ts"), "arrived", F.col("v").alias("flow_rate")))
+    return late_events.read(late_events.merge(late_events.counters(first))).select("esp_id", "period", "n", "total")
 
 
 def latest_state(spark: SparkSession, readings: DataFrame, columns: list[str], folder: str) -> DataFrame:
