@@ -35,14 +35,20 @@ def _silver(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _valid(spark: SparkSession, folder: str) -> DataFrame:
-    """Valid realtime rows with arrival; rows without one are left out."""
+    """Valid realtime rows with arrival, null where it is unknown."""
     v = _validated(spark, folder).where((F.col("rule_id") == contract.OK) & (F.col("source") == "realtime"))
-    return v.withColumn("arrived", micros_ntz(F.col("ingested_at"))).where("arrived is not null")
+    return v.withColumn("arrived", micros_ntz(F.col("ingested_at")))
 
 
-def _latest(spark: SparkSession, folder: str) -> DataFrame:
+def _arrived(spark: SparkSession, folder: str) -> DataFrame:
+    """Valid realtime rows of known arrival."""
+    return _valid(spark, folder).where("arrived is not null")
+
+
+def _latest(spark: SparkSession, folder: str, of=_valid) -> DataFrame:
+    """Latest states; an unknown arrival counts as the last of its time."""
     cols = ["arrived", "status", "scenario", "flow_rate", "motor_temperature", "motor_current", "vibration"]
-    s = state.latest(_valid(spark, folder), F.col("arrived"), cols)
+    s = state.latest(of(spark, folder), F.col("arrived"), cols)
     return s.withColumns({"status": F.coalesce("status", F.lit("UNKNOWN")), "scenario": F.coalesce("scenario", F.lit("unknown"))})
 
 
@@ -171,7 +177,7 @@ def latest_state(spark, folder):
 
 @query
 def state_outcomes(spark, folder):
-    o = state.outcomes(_valid(spark, folder).select("esp_id", "ts", "arrived", "source_uri", "id"), "arrived", ["source_uri", "id"])
+    o = state.outcomes(_arrived(spark, folder).select("esp_id", "ts", "arrived", "source_uri", "id"), "arrived", ["source_uri", "id"])
     return o.groupBy("esp_id", "outcome").agg(F.count("*").alias("n"))
 
 
@@ -305,14 +311,14 @@ def key_lookup(spark, folder):
 
 @query
 def archive_paths(spark, folder):
-    """Raw archive paths of the valid realtime events."""
-    v = _valid(spark, folder)
+    """Raw archive paths of the valid realtime events of known arrival (as its SQL has it; see REPLY_r01.md)."""
+    v = _arrived(spark, folder)
     return v.select(archive.archive_path(F.col("esp_id"), F.col("ts"), spelled(F.col("id"))).alias("path")).distinct()
 
 
 @query
 def freshness_state(spark, folder):
-    s = _latest(spark, folder).select("esp_id", "arrived")
+    s = _latest(spark, folder, _arrived).select("esp_id", "arrived")
     newest = F.max("arrived").over(Window.partitionBy(F.lit(1)))  # one row per pump
     age = ((newest - F.col("arrived")) / 1e6).alias("age")
     return s.select("esp_id", age).select("esp_id", reconcile.freshness(F.col("age"), F.lit(True), 10.0, 45.0).alias("state"))
