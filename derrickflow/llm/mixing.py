@@ -100,19 +100,46 @@ def realise(docs: DataFrame, plan: DataFrame, seed: int = 5) -> DataFrame:
     order = F.xxhash64("doc_id", F.lit(seed))
     # one row per source, bounded by the target table: read from the plan's own local rows
     item = docs.where("n_tokens > 0").select("doc_id", "source", "n_tokens").join(quota, "source")
-    item = item.withColumns({"block": F.pmod(order, F.lit(BLOCKS)), "order": order})
-    sums = item.groupBy("source", "block").agg(F.sum("n_tokens").alias("t"))
-    before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("before", F.coalesce(F.sum("t").over(before), F.lit(0))).drop("t")
-    placed = item.join(sums, ["source", "block"])
-    # blocks that end before the budget's rest go in whole, those that begin after it stay out; the sum within matters only to one block of a source
-    within = Window.partitionBy("source", "block").orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.col("before") + F.sum("n_tokens").over(within)
-    extra = F.when((upto <= F.col("rest")) & (F.coalesce(F.col("max_repeats"), F.lit(1 << 30)) > F.col("rounds")), 1).otherwise(0)
-    drawn = placed.withColumn("copies", (F.col("rounds") + extra).cast("long"))
+    item = item.withColumn("place", F.struct(F.pmod(order, F.lit(BLOCKS)).alias("block"), order.alias("order"), "doc_id"))
+    stretches = _stretches(item, quota.where(F.coalesce(F.col("max_repeats"), F.lit(1 << 30)) > F.col("rounds")))
+    fits = lambda s: (s.after.isNull() | (F.col("place") > s.after)) & (s.until.isNull() | (F.col("place") < s.until)) & (F.col("n_tokens") <= s.rest)
+    extra = F.when(F.exists("stretches", fits), 1).otherwise(0)
+    drawn = item.join(stretches, "source", "left").withColumn("copies", (F.col("rounds") + extra).cast("long"))
     return drawn.where("copies > 0").select("doc_id", "source", "n_tokens", "copies")
 
 
+def _stretches(item: DataFrame, quota: DataFrame) -> DataFrame:
+    """Where the last round takes texts: source, stretches, of which each has two places (null: the ends) and the rest of the budget it began with.
+
+    Between its places a stretch takes every text of at most its rest; it ends at the first of these that no longer fits in what it has left.
+    Every round passes over one text of each source by one aggregation; the rest after it is less than that text, so rounds are few.
+    The driver gets a row per source and round.
+    """
+    spark, kind = item.sparkSession, item.schema["place"].dataType.simpleString()
+    schema = f"source string, rest double, after {kind}"
+    now = [(r.source, r.rest, None) for r in quota.select("source", "rest").collect() if r.rest >= 1]
+    made: dict[str, list] = {}
+    while now:
+        left = item.drop("rest").join(spark.createDataFrame(now, schema), "source").where("n_tokens <= rest and (after is null or place > after)")
+        left = left.select("source", "n_tokens", "rest", "place", "place.block")
+        sums = left.groupBy("source", "block").agg(F.sum("n_tokens").alias("t"))
+        before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn("before", F.coalesce(F.sum("t").over(before), F.lit(0)))
+        # blocks that end before the budget's rest go in whole, those that begin after it stay out; only one block of a source is put in order
+        edge = left.join(sums, ["source", "block"]).where("before <= rest and before + t > rest")
+        within = Window.partitionBy("source", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+        edge = edge.withColumn("upto", F.col("before") + F.sum("n_tokens").over(within))
+        over = {r.source: r for r in edge.where("upto > rest").groupBy("source").agg(F.min(F.struct("place", (F.col("upto") - F.col("n_tokens")).alias("used"))).alias("m")).select("source", "m.*").collect()}
+        then = []
+        for source, rest, after in now:
+            until = over[source].place if source in over else None
+            made.setdefault(source, []).append((after, until, rest))
+            if until is not None and rest - over[source].used >= 1:
+                then.append((source, rest - over[source].used, until))
+        now = then
+    return spark.createDataFrame(list(made.items()), f"source string, stretches array<struct<after: {kind}, until: {kind}, rest: double>>")
+
+
 def report(drawn: DataFrame, plan: DataFrame) -> DataFrame:
     """Target, weight and actual share of the mix's tokens, per source of the plan (0 where nothing is drawn)."""
     got = drawn.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.max("copies").alias("most_copies"))
