@@ -161,7 +161,7 @@ def _typed(batch: pd.DataFrame) -> pd.DataFrame:
         row = {c: _text(event.get(c)) for c in TEXTS} | {c: _number(event.get(c)) for c in NUMBERS}
         v = event.get("schema_version")
         row["schema_version"] = _number(float(v) if isinstance(v, bool) else v)
-        row["version_text"] = repr(v)[:200]
+        row["version_text"] = repr(v)
         row["ts"] = micros_of(event.get("timestamp"))
         rows[i] = row
     names: dict = {}
@@ -179,7 +179,7 @@ def _typed(batch: pd.DataFrame) -> pd.DataFrame:
             event = dict(zip(names[head], fields))
             row = {c: event.get(c) or None for c in TEXTS} | {c: _csv_number(event.get(c)) for c in NUMBERS}
             v = event.get("schema_version") or None
-            row["schema_version"], row["version_text"], row["ts"] = _csv_number(v), repr(v)[:200], micros_of(event.get("timestamp"))
+            row["schema_version"], row["version_text"], row["ts"] = _csv_number(v), repr(v), micros_of(event.get("timestamp"))
             rows[i] = row
     out = pd.DataFrame(rows, columns=["malformed", "offset", "schema_version", "version_text", "ts", *TEXTS, *NUMBERS])
     for c in ("source_uri", "source_kind", "line_no", "ingested_at"):
