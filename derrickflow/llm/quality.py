@@ -135,7 +135,7 @@ def fit_prose(stats: DataFrame, rounds: int = 3, cut: float = CUT, least: int =
     """Per language the mean and inverse covariance of prose.
 
     Every round is one aggregation of sums over all documents; the driver gets one row per language of
-    frequent_words. A language with fewer than `least` documents near its estimate takes part in that of all ("").
+    frequent_words. A language with fewer than `least` documents near its estimate in the last round is judged by that of all ("").
     """
     have = stats.where("n_words is not null")
     both = have.withColumn("of", F.explode(F.array(F.col("language"), F.lit(""))))
@@ -155,11 +155,11 @@ def fit_prose(stats: DataFrame, rounds: int = 3, cut: float = CUT, least: int =
         for of, v in sums.items():
             n = v[0]
             if n < least and of:
-                continue
+                continue  # keeps its estimate for the next round
             mean = v[1 : k + 1] / n
             cov = v[k + 1 :].reshape(k, k) / n - np.outer(mean, mean)
             model[of] = (mean, np.linalg.inv(cov + FLOOR**2 * np.eye(k)), 1.0)
-    small = {r.of for r in middle if r.n < least and r.of}
+    small = {of for of in model if of and (of not in sums or sums[of][0] < least)}
     return {k: v[:2] for k, v in model.items() if k not in small}
 
 

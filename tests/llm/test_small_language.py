@@ -1,0 +1,14 @@
+import numpy as np
+
+from derrickflow.llm import quality
+
+
+def test_few_documents_near_the_estimate_are_judged_by_all(spark):
+    rng = np.random.default_rng(1)
+    names = list(quality.STATS)
+    en = rng.normal(0, 1, (200, len(names)))
+    de = np.vstack([np.zeros((35, len(names))), rng.normal(0, 1, (25, len(names))) + 50])
+    rows = [("en", 10, *map(float, x)) for x in en] + [("de", 10, *map(float, x)) for x in de]
+    df = spark.createDataFrame(rows, "language string, n_words long, " + ", ".join(f"{n} double" for n in names))
+    model = quality.fit_prose(df)
+    assert "en" in model and "" in model and "de" not in model
