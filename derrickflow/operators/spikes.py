@@ -2,14 +2,15 @@
 
 1. Readings are written once, in order, in files that hold whole source days, by range partitioning
    on (source, day): a source with most of the rows is spread over its days.
-2. A first pass over the files measures the ordinary scatter per source, day and field; the median
-   over its days is the source's scatter.
-3. A second pass takes, per source day and field, the daily profile: a matrix of 24 hours by 12
-   five-minute medians. Robust principal components (principal component pursuit) split it into a
-   low-rank normal course and sparse rest. Readings far from the normal course are candidates; an
-   exact check then keeps those of at most `longest` successive readings that are off the median of
-   their neighbours by more than `times` the scatter. Constant runs and impossible values are tested
-   separately. Neighbours in adjacent files are read from there, so no result depends on the cuts.
+2. A pass over the files gives per source day and field the ordinary scatter, the daily profile (288
+   five-minute medians) and, per file, the first and last readings, which the files beside it need.
+3. The profiles of a source and field form a matrix of days by slots, in blocks of `days` calendar
+   days. Robust principal components (principal component pursuit) split it into the low-rank normal
+   course and the sparse rest; what of the rest lasts over many slots is a change of operation and goes back to the course.
+4. A reading is sparse if it is off its slot's normal course by more than `first` times the scatter. Spikes are
+   stretches of at most `longest` successive sparse readings off the level of the normal readings around them; an
+   exact check follows: more than `times` the scatter off the median of all neighbours too.
+   Constant runs and impossible values are tested separately.
 """
 
 from __future__ import annotations
@@ -20,35 +21,38 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyarrow import fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from derrickflow.functions.times import DAY, HOUR, SLOT
+from derrickflow.functions.times import DAY, SLOT
 from derrickflow.session import materialise, scratch
 from derrickflow.sources.files import resolve
 
 #: Possible values per field: below the first or above the second no such sensor can read.
 POSSIBLE = {"motor_temperature": (-40.0, 400.0), "vibration": (0.0, np.inf), "flow_rate": (0.0, np.inf), "motor_current": (0.0, np.inf)}
-HOURS, SLOTS = DAY // HOUR, HOUR // SLOT
+SLOTS = DAY // SLOT
 OUT = "id binary, field string, kind string, value double, level double, scatter double"
-SIGMA = "unit long, esp_id string, field string, n long, scatter double, step double"
+EDGE = "array<struct<ts: long, x: double>>"
+MEASURED = f"unit int, esp_id string, field string, day long, n long, scatter double, step double, profile binary, head {EDGE}, tail {EDGE}"
+COURSE = "esp_id string, field string, day long, course binary"
 
 
 @dataclass(frozen=True)
 class Limits:
-    """times: of the scatter; longest: readings of a spike; run: readings of a constant run; window: readings of a level; first: times of the day's scatter that make a candidate."""
+    """times: of the scatter; longest: readings of a spike; run: readings of a constant run; window: readings of a level; first: times of the scatter that make a reading sparse; days: of a matrix of profiles."""
 
     times: float = 10.0
     longest: int = 3
     run: int = 12
     window: int = 15
     first: float = 4.0
+    days: int = 28
     possible: dict = field(default_factory=lambda: dict(POSSIBLE))
 
     @property
     def context(self) -> int:
-        return max(self.run, self.window + 2 * self.longest + 2)
+        """Readings of a field that a file needs of those beside it; several times what a level or run takes, as impossible ones don't count."""
+        return 4 * max(self.run, self.window + 2 * self.longest + 2)
 
 
 def low_rank(m: np.ndarray, rounds: int = 60, close: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
@@ -56,15 +60,22 @@ def low_rank(m: np.ndarray, rounds: int = 60, close: float = 1e-5) -> tuple[np.n
 
     Minimises nuclear norm + 1/sqrt(rows) * absolute sum by the inexact augmented Lagrangian method.
     """
-    lam = 1 / np.sqrt(max(m.shape[1:]))
+    if m.shape[1] > m.shape[2]:
+        low, s = low_rank(m.transpose(0, 2, 1), rounds, close)
+        return low.transpose(0, 2, 1), s.transpose(0, 2, 1)
+    lam = 1 / np.sqrt(m.shape[2])
     norm = np.linalg.norm(m, 2, axis=(1, 2)) + 1e-12
     y = m / np.maximum(norm, np.abs(m).max((1, 2)) / lam + 1e-12)[:, None, None]
     s, mu = np.zeros_like(m), (1.25 / norm)[:, None, None]
     size = np.linalg.norm(m, axis=(1, 2)) + 1e-12
     low = m
     for _ in range(rounds):
-        u, d, v = np.linalg.svd(m - s + y / mu, full_matrices=False)
-        low = (u * np.maximum(d - 1 / mu[:, :, 0], 0)[:, None, :]) @ v
+        a = m - s + y / mu
+        # singular values by way of the small product of the matrix with itself: there are far fewer days than slots
+        d2, u = np.linalg.eigh(a @ a.transpose(0, 2, 1))
+        d = np.sqrt(np.maximum(d2, 0))
+        kept = np.maximum(d - 1 / mu[:, :, 0], 0) / np.maximum(d, 1e-300)
+        low = ((u * kept[:, None, :]) @ u.transpose(0, 2, 1)) @ a
         rest = m - low + y / mu
         s = np.sign(rest) * np.maximum(np.abs(rest) - lam / mu, 0)
         gap = m - low - s
@@ -108,32 +119,6 @@ def _load(table: pa.Table) -> dict[str, np.ndarray]:
     return out
 
 
-def _paths(folder: str) -> list[str]:
-    fs, path = resolve(folder)
-    return sorted(f.path for f in fs.get_file_info(pafs.FileSelector(path)) if f.base_name.startswith("part-") and f.size)
-
-
-def _edge(folder: str, paths: list[str], unit: int, step: int, source: str, fields: list[str], need: int) -> pa.Table | None:
-    """Rows of a source in the files before (step -1) or after (1) a unit: as many as give `need` readings of each field, or all."""
-    fs, _ = resolve(folder)
-    got, have, at = [], dict.fromkeys(fields, 0), unit + step
-    while 0 <= at < len(paths):
-        with fs.open_input_file(paths[at]) as f:
-            pf = pq.ParquetFile(f)
-            order = range(pf.num_row_groups)
-            for g in reversed(order) if step < 0 else order:
-                t = pf.read_row_group(g)
-                own = t.filter(pa.compute.equal(t.column("esp_id"), source))
-                got.append(own)
-                for c in fields:
-                    x = np.asarray(own.column(c).to_numpy(), float)
-                    have[c] += int((~np.isnan(x)).sum())
-                if own.num_rows < t.num_rows or min(have.values()) >= need:
-                    return pa.concat_tables(got[::-1] if step < 0 else got)
-        at += step
-    return pa.concat_tables(got[::-1] if step < 0 else got) if got else None
-
-
 def _scatter(x: np.ndarray, limits: Limits, bounds: tuple[float, float]) -> tuple[int, float, float]:
     """Readings counted, their scatter about the running median (the 90 % quantile of deviations, as a standard deviation), the smallest step between values."""
     x = x[~np.isnan(x)]
@@ -146,56 +131,59 @@ def _scatter(x: np.ndarray, limits: Limits, bounds: tuple[float, float]) -> tupl
     return len(off), float(np.quantile(off, 0.9) / 1.645), float(np.diff(values).min()) if len(values) > 1 else 0.0
 
 
-def _normal(day: np.ndarray, slot: np.ndarray, x: np.ndarray, ok: np.ndarray) -> np.ndarray:
-    """The low-rank normal course at each reading, by daily profile matrices."""
-    out = np.full(len(x), np.nan)
-    spans, stack = _groups(day), []
-    for a, b in spans:
-        use = np.flatnonzero(ok[a:b]) + a
-        if not len(use):
-            stack.append(np.zeros(HOURS * SLOTS))
-            continue
-        order = use[np.lexsort((x[use], slot[use]))]
-        cells = _groups(slot[order])
-        known = np.array([slot[order[i]] for i, _ in cells])
-        value = np.array([(x[order[(i + j - 1) // 2]] + x[order[(i + j) // 2]]) / 2 for i, j in cells])
-        smooth = pd.Series(value).rolling(5, center=True, min_periods=1).median().to_numpy()
-        every = np.arange(HOURS * SLOTS)
-        right = np.clip(np.searchsorted(known, every), 0, len(known) - 1)
-        left = np.clip(right - 1, 0, None)
-        near = np.where(np.abs(known[left] - every) <= np.abs(known[right] - every), left, right)
-        full = smooth[near]
-        full[known] = value
-        stack.append(full)
-    m = np.array(stack).reshape(-1, HOURS, SLOTS)
-    middle = np.median(m, (1, 2), keepdims=True)
-    low = low_rank(m - middle)[0] + middle
-    for (a, b), course in zip(spans, low.reshape(len(spans), -1)):
-        out[a:b] = course[slot[a:b]]
-    return out
+def profile(slot: np.ndarray, x: np.ndarray) -> np.ndarray | None:
+    """Medians of a day's readings per slot; slots without readings have the smoothed value of the neighbours. None without readings."""
+    if not len(x):
+        return None
+    order = np.lexsort((x, slot))
+    cells = _groups(slot[order])
+    known = np.array([slot[order[i]] for i, _ in cells])
+    value = np.array([(x[order[(i + j - 1) // 2]] + x[order[(i + j) // 2]]) / 2 for i, j in cells])
+    smooth = pd.Series(value).rolling(5, center=True, min_periods=1).median().to_numpy()
+    full = np.interp(np.arange(SLOTS), known, smooth)
+    full[known] = value
+    return full
+
+
+def normal_courses(profiles: np.ndarray, longest: int) -> np.ndarray:
+    """The normal course of each day (row): the low-rank part of the profiles and what of the sparse part lasts.
+
+    A spike is at most `longest` successive readings and touches as many slots; what most of the 2 * longest + 3 slots around have in
+    common is no spike.
+    """
+    middle = np.median(profiles)
+    low, sparse = low_rank((profiles - middle)[None])
+    lasting = pd.DataFrame(sparse[0].T).rolling(2 * longest + 3, center=True, min_periods=1).median().to_numpy().T
+    return low[0] + lasting + middle
 
 
-def _flag(ids, ts, x, own, sigma: float, limits: Limits, name: str) -> list[dict]:
-    """Flags of one source and field in order of time; own: which readings are the unit's, not context."""
+def _flag(ids, ts, x, own, sigma: float, courses: dict[int, np.ndarray], limits: Limits, name: str) -> list[dict]:
+    """Flags of one source and field in order of time, of readings without null and NaN; own: which readings are the unit's, not context."""
     bounds = limits.possible[name]
-    valid = ~np.isnan(x)
-    ids, ts, x, own = ids[valid], ts[valid], x[valid], own[valid]
     impossible = (x < bounds[0]) | (x > bounds[1]) | np.isinf(x)
     stuck = run_lengths(x) >= limits.run
     out = [("range", i, np.nan) for i in np.flatnonzero(impossible & own)] + [("stuck", i, x[i]) for i in np.flatnonzero(stuck & own)]
     keep = np.flatnonzero(~impossible)
     y, still = x[keep], stuck[keep]
-    if len(y) > 3:
-        base = level(y, still, limits.window)
-        off = np.abs(y - base)
-        course = _normal(ts[keep] // DAY, (ts[keep] % DAY) // SLOT, y, ~still)
-        candidate = np.abs(y - course) > limits.first * sigma
-        far = (off > limits.times * sigma) & ~still
-        spans = [s for s in _groups(far) if far[s[0]] and s[1] - s[0] <= limits.longest]
-        out += [("spike", keep[i], base[i]) for a, b in spans for i in range(a, b) if candidate[a:b].any() and own[keep[i]]]
+    day, slot = ts[keep] // DAY, ts[keep] % DAY // SLOT
+    course = np.full(len(y), np.nan)
+    for a, b in _groups(day):
+        if day[a] in courses:
+            course[a:b] = courses[day[a]][slot[a:b]]
+    sparse = np.abs(y - course) > limits.first * sigma
+    base = level(y, still | sparse, limits.window)
+    far = sparse & ~still & (np.abs(y - base) > limits.times * sigma)
+    # the exact check
+    far &= np.abs(y - level(y, still, limits.window)) > limits.times * sigma
+    spans = [s for s in _groups(far) if far[s[0]] and s[1] - s[0] <= limits.longest]
+    out += [("spike", keep[i], base[i]) for a, b in spans for i in range(a, b) if own[keep[i]]]
     return [{"id": ids[i], "field": name, "kind": kind, "value": float(x[i]), "level": float(lv), "scatter": sigma} for kind, i, lv in out]
 
 
+def _ends(ts: np.ndarray, x: np.ndarray) -> list[dict]:
+    return [{"ts": t, "x": v} for t, v in zip(ts.tolist(), x.tolist())]
+
+
 def implausible(readings: DataFrame, fields: tuple[str, ...] = tuple(POSSIBLE), limits: Limits = Limits(), partitions: int | None = None) -> DataFrame:
     """Flags: id, field, kind (range, stuck, spike), value, level around, scatter; a row per reading, field and kind.
 
@@ -214,59 +202,83 @@ def implausible(readings: DataFrame, fields: tuple[str, ...] = tuple(POSSIBLE),
         .write.option("parquet.block.size", str(4 << 20))
         .parquet(folder)
     )
-    units = len(_paths(folder))
-    if not units:
-        return spark.createDataFrame([], OUT)
+    # files by name only: their numbers are in the order of (source, day)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
+    units = listed.select(F.regexp_extract("path", r"part-(\d+)", 1).cast("int").alias("unit"), "path")
+    tail = limits.context
 
     def measure(batches):
-        paths = _paths(folder)
-        fs, _ = resolve(folder)
         for b in batches:
-            for unit in b.column("id").to_pylist():
-                with fs.open_input_file(paths[unit]) as f:
+            for unit, path in zip(b.column("unit").to_pylist(), b.column("path").to_pylist()):
+                fs, at = resolve(path)
+                with fs.open_input_file(at) as f:
                     d = _load(pq.read_table(f, columns=["esp_id", "ts", *fields]))
                 rows = []
                 for a, z in _groups(d["esp_id"]):
-                    day = d["ts"][a:z] // DAY
-                    for i, j in _groups(day):
-                        for c in fields:
-                            k, s, step = _scatter(d[c][a + i : a + j], limits, limits.possible[c])
-                            if k:
-                                rows.append((unit, d["esp_id"][a], c, k, s, step))
-                cols = list(zip(*rows)) or [[]] * 6
-                types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.float64(), pa.float64())
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], ["unit", "esp_id", "field", "n", "scatter", "step"])
-
-    per_day = materialise(spark.range(0, units, 1, units).mapInArrow(measure, SIGMA), "scatter")
-    # days with few readings tell little: they count only for sources that have no others. A coarse sensor scatters by its step at least
-    sigma = per_day.groupBy("esp_id", "field").agg(
-        F.greatest(F.coalesce(F.median(F.when(F.col("n") >= 20, F.col("scatter"))), F.avg("scatter")), F.min(F.when(F.col("step") > 0, F.col("step"))) / 12**0.5).alias("sigma")
+                    for c in fields:
+                        valid = np.flatnonzero(~np.isnan(d[c][a:z])) + a
+                        ts, x = d["ts"][valid], d[c][valid]
+                        low, high = limits.possible[c]
+                        ok = (x >= low) & (x <= high) & ~np.isinf(x)
+                        ends = _ends(ts[:tail], x[:tail]), _ends(ts[-tail:], x[-tail:])
+                        for i, j in _groups(ts // DAY):
+                            k, s, step = _scatter(x[i:j], limits, (low, high))
+                            use = ok[i:j] & (run_lengths(x[i:j]) < limits.run)
+                            p = profile((ts[i:j] % DAY // SLOT)[use], x[i:j][use])
+                            row = (unit, d["esp_id"][a], c, int(ts[i] // DAY), k, s, step, None if p is None else p.tobytes(), *ends)
+                            rows.append(dict(zip(schema.names, row)))
+                            ends = None, None
+                yield pa.RecordBatch.from_pylist(rows, schema)
+
+    edge = pa.list_(pa.struct([("ts", pa.int64()), ("x", pa.float64())]))
+    types = (pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), edge, edge)
+    schema = pa.schema(list(zip(("unit", "esp_id", "field", "day", "n", "scatter", "step", "profile", "head", "tail"), types)))
+    days = materialise(units.repartition(n).mapInArrow(measure, MEASURED), "days")
+    of = ["esp_id", "field"]
+
+    # a source's scatter: the median over its days, each with the weight of its readings. A coarse sensor scatters by its step at least
+    step = F.min(F.when(F.col("step") > 0, F.col("step"))) / 12**0.5
+    sigma = days.groupBy(*of).agg(F.greatest(F.percentile(F.when(F.col("n") > 0, F.col("scatter")), 0.5, F.col("n")), step).alias("sigma"))
+
+    def decompose(table: pa.Table) -> pa.Table:
+        table = table.sort_by("day")
+        m = np.array([np.frombuffer(p) for p in table.column("profile").to_pylist()])
+        courses = [c.tobytes() for c in normal_courses(m, limits.longest)]
+        return table.select([*of, "day"]).append_column("course", pa.array(courses, pa.binary()))
+
+    # a block of profiles is small and its work isn't: a fixed number of partitions, which AQE doesn't coalesce
+    block = F.floor(F.col("day") / limits.days).alias("block")
+    courses = days.where("profile is not null").select(*of, "day", "profile", block).repartition(n, *of, "block").groupBy(*of, "block").applyInArrow(decompose, COURSE)
+
+    # what a file needs of those beside it: each has a reading at least, so that `tail` files always have enough
+    order = Window.partitionBy(*of).orderBy("unit")
+    ends = days.where("tail is not null").select(
+        "unit", *of, F.flatten(F.collect_list("tail").over(order.rowsBetween(-tail, -1))).alias("before"), F.flatten(F.collect_list("head").over(order.rowsBetween(1, tail))).alias("after")
     )
-    wanted = per_day.select("unit", "esp_id", "field").distinct().join(sigma, ["esp_id", "field"])
-
-    def judge(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        unit, paths, out = key[0].as_py(), _paths(folder), []
-        fs, _ = resolve(folder)
-        known = dict(zip(zip(right.column("esp_id").to_pylist(), right.column("field").to_pylist()), right.column("sigma").to_pylist()))
-        with fs.open_input_file(paths[unit]) as f:
-            table = pq.read_table(f)
-        spans = _groups(np.asarray(table.column("esp_id").to_pylist(), object))
-        for a, z in spans:
-            parts, source = [table.slice(a, z - a)], table.column("esp_id")[a].as_py()
-            before = _edge(folder, paths, unit, -1, source, fields, limits.context) if a == 0 else None
-            after = _edge(folder, paths, unit, 1, source, fields, limits.context) if z == table.num_rows else None
-            head = before.num_rows if before is not None else 0
-            parts = ([before] if before is not None else []) + parts + ([after] if after is not None else [])
-            d = _load(pa.concat_tables(parts))
-            own = np.zeros(len(d["ts"]), bool)
-            own[head : head + z - a] = True
+    last = F.when(F.size("before") > tail, F.slice("before", -tail, tail)).otherwise(F.col("before"))
+    ends = ends.withColumns({"before": last, "after": F.slice("after", 1, tail)})
+    beside = ends.select("unit", *of, F.explode(F.array_distinct(F.transform(F.concat("before", "after"), lambda e: F.floor(e["ts"] / DAY)))).alias("day"))
+    at = days.select("unit", *of, "day").unionByName(beside).distinct().join(courses, [*of, "day"], "left")
+    at = at.groupBy("unit", *of).agg(F.collect_list(F.when(F.col("course").isNotNull(), F.struct("day", "course"))).alias("courses"))
+    wanted = ends.join(sigma, of).join(at, ["unit", *of]).join(units, "unit")
+
+    def judge(table: pa.Table) -> pa.Table:
+        known = {(r["esp_id"], r["field"]): r for r in table.drop_columns(["unit", "path"]).to_pylist()}
+        fs, path = resolve(table.column("path")[0].as_py())
+        with fs.open_input_file(path) as f:
+            d, out = _load(pq.read_table(f)), []
+        for a, z in _groups(d["esp_id"]):
             for c in fields:
-                s = known.get((source, c))
-                out += _flag(d["id"], d["ts"], d[c], own, np.inf if s is None else s, limits, c)
-        types = [("id", pa.binary()), ("field", pa.string()), ("kind", pa.string()), ("value", pa.float64()), ("level", pa.float64()), ("scatter", pa.float64())]
-        return pa.Table.from_pylist(out, pa.schema(types))
-
-    # few rows, much work: fixed partition numbers, which AQE doesn't coalesce
-    every = spark.range(0, units, 1, 1).withColumnRenamed("id", "unit")
-    left, right = (t.repartition(2 * units, "unit").groupBy("unit") for t in (every, wanted))
-    return left.cogroup(right).applyInArrow(judge, OUT)
+                if r := known.get((d["esp_id"][a], c)):
+                    valid = np.flatnonzero(~np.isnan(d[c][a:z])) + a
+                    before, after = ((np.array([e["ts"] for e in r[k]], np.int64), np.array([e["x"] for e in r[k]], float)) for k in ("before", "after"))
+                    ts, x = np.r_[before[0], d["ts"][valid], after[0]], np.r_[before[1], d[c][valid], after[1]]
+                    ids, own = np.full(len(ts), None, object), np.zeros(len(ts), bool)
+                    mine = slice(len(before[0]), len(before[0]) + len(valid))
+                    ids[mine], own[mine] = d["id"][valid], True
+                    courses = {e["day"]: np.frombuffer(e["course"]) for e in r["courses"]}
+                    out += _flag(ids, ts, x, own, np.inf if r["sigma"] is None else r["sigma"], courses, limits, c)
+        kinds = [("id", pa.binary()), ("field", pa.string()), ("kind", pa.string()), ("value", pa.float64()), ("level", pa.float64()), ("scatter", pa.float64())]
+        return pa.Table.from_pylist(out, pa.schema(kinds))
+
+    return wanted.repartition(2 * n, "unit").groupBy("unit").applyInArrow(judge, OUT)

@@ -75,3 +75,35 @@ def test_coarse_sensor(spark):
     coarse[500] += 3
     got = flags(spark, [("A", ts, (coarse, x, x, x))])
     assert not {g for g in got if g[1:] == ("motor_temperature", "spike") and g[0] != "A000500"}
+
+
+def test_the_decomposition_decides(spark):
+    ts, x = series(n=1000, step=80_000_000)
+    x = x.copy()
+    at = np.arange(50, 950, 90)
+    x[at] += 20
+    want = {(f"A{i:06}", f, "spike") for i in at for f in S.POSSIBLE}
+    many = [("A", ts, (x,) * 4)]
+    assert flags(spark, many) == want
+    # with every reading sparse there is no level of normal readings, with none there is no spike
+    assert flags(spark, many, limits=S.Limits(first=0.0)) == set() == flags(spark, many, limits=S.Limits(first=1e9))
+    # without the decomposition a slot's median takes the spike for normal
+    days = ts // S.DAY
+    m = np.array([S.profile(ts[days == d] % S.DAY // S.SLOT, x[days == d]) for d in np.unique(days)])
+    own = np.ones(len(ts), bool)
+    found = [len(S._flag(ts, ts, x, own, 0.5, dict(zip(np.unique(days), c)), S.Limits(), "flow_rate")) for c in (S.normal_courses(m, 3), m)]
+    assert found[0] == len(at) > found[1]
+
+
+def test_days_take_part_together():
+    course = 10 * np.sin(np.arange(288) / 20)
+    m = np.array([course + k for k in range(10)])
+    m[4, 100:103] += 30
+    low = S.normal_courses(m, 3)
+    assert abs(low - np.array([course + k for k in range(10)])).max() < 2.5
+
+
+def test_null_field_and_many_files(spark):
+    ts, x = series(n=5 * 1440)
+    many = [("A", ts, ([None] * len(x), x, x, [None] * (len(x) - 1) + [-1.0]))]
+    assert flags(spark, many, partitions=12) == {(f"A{len(x) - 1:06}", "motor_current", "range")}
