@@ -78,7 +78,7 @@ def test_coarse_sensor(spark):
 
 
 def test_the_decomposition_decides(spark):
-    ts, x = series(n=1000, step=80_000_000)
+    ts, x = series(n=1000, step=200_000_000)
     x = x.copy()
     at = np.arange(50, 950, 90)
     x[at] += 20
