@@ -60,46 +60,55 @@ def counters(events: DataFrame, shards: int = SHARDS, grace: int = GRACE, cut_of
     return delta.select(*KEY, "shard", "version", *(f(c).over(so_far).alias(c) for c, f in how.items()))
 
 
-def merge(*states: DataFrame) -> DataFrame:
-    """The merged state: per period and source the counter of the greatest version, from any number of states."""
+def merge(*states: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The merged state: per period and source the counter of the greatest version, from any number of states.
+
+    by: further columns that tell states apart which are held in one table.
+    """
     both = states[0]
     for other in states[1:]:
         both = both.unionByName(other)
-    rest = [c for c in both.columns if c not in (*KEY, "shard")]
-    top = both.groupBy(*KEY, "shard").agg(F.max(F.struct("version", *[c for c in rest if c != "version"])).alias("top"))
-    return top.select(*KEY, "shard", "top.*")
+    key = [*by, *KEY, "shard"]
+    rest = [c for c in both.columns if c not in (*key, "version")]
+    top = both.groupBy(*key).agg(F.max(F.struct("version", *rest)).alias("top"))
+    return top.select(*key, "top.*")
 
 
-def read(state: DataFrame) -> DataFrame:
+def read(state: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Aggregates per pump and period: the sum over the sources of a merged state."""
-    return state.groupBy(*KEY).agg(
+    return state.groupBy(*by, *KEY).agg(
         F.sum("n").alias("n"), F.sum("n_values").alias("n_values"), F.sum("total").alias("total"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("version").alias("version")
     )
 
 
-def hourly(events: DataFrame, **how) -> DataFrame:
-    """Per pump and hour the first publication (at grace) beside the final one (at the cut-off).
+def published(deliveries: DataFrame) -> DataFrame:
+    """Per pump and hour the first publication (at grace) beside the final one (at the cut-off), from delivered counters.
 
-    Columns: esp_id, period, n_first, n, total, mean_first, mean, low, high, corrections (events that moved it).
+    deliveries: counters (see counters()) in any order, each any number of times. The first publication is the merge of
+    the counters of version 0, the final one that of all. Columns: esp_id, period, n_first, n, total, mean_first, mean, low,
+    high, corrections (events that moved it).
     """
-    every = counters(events, **how)
-    per = Window.partitionBy(*KEY, "shard")
-    # the state as of the first publication is the merge of the counters of version 0; both states come from one pass
-    marked = every.withColumn("last", F.max("version").over(per))
-    final, first = F.col("version") == F.col("last"), F.col("version") == 0
-    pick = lambda c, when, how: how(F.when(when, F.col(c)))
-    out = marked.groupBy(*KEY).agg(
-        F.coalesce(pick("n", first, F.sum), F.lit(0)).alias("n_first"),
-        pick("n", final, F.sum).alias("n"),
-        pick("total", final, F.sum).alias("total"),
-        F.try_divide(pick("total", first, F.sum), pick("n_values", first, F.sum)).alias("mean_first"),
-        F.try_divide(pick("total", final, F.sum), pick("n_values", final, F.sum)).alias("mean"),
-        pick("low", final, F.min).alias("low"),
-        pick("high", final, F.max).alias("high"),
+    # both states are held in one table, so that one pass over the deliveries merges both
+    sent = deliveries.withColumn("final", F.explode(F.when(F.col("version") == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(True)))))
+    both = read(merge(sent, by=("final",)), by=("final",))
+    pick = lambda c, final: F.max(F.when(F.col("final") == final, F.col(c)))
+    out = both.groupBy(*KEY).agg(
+        F.coalesce(pick("n", False), F.lit(0)).alias("n_first"),
+        pick("n", True).alias("n"),
+        pick("total", True).alias("total"),
+        F.try_divide(pick("total", False), pick("n_values", False)).alias("mean_first"),
+        F.try_divide(pick("total", True), pick("n_values", True)).alias("mean"),
+        pick("low", True).alias("low"),
+        pick("high", True).alias("high"),
     )
     return out.withColumn("corrections", F.col("n") - F.col("n_first"))
 
 
+def hourly(events: DataFrame, **how) -> DataFrame:
+    """The publications (see published()) of a table of events."""
+    return published(counters(events, **how))
+
+
 def dropped(events: DataFrame, cut_off: int = CUT_OFF) -> DataFrame:
     """Per pump and hour the events that came after the cut-off."""
     return events.where(F.col("arrived") - F.col("period") - HOUR > cut_off).groupBy(*KEY).agg(F.count("*").alias("n_dropped"))

@@ -3,7 +3,8 @@
 A rate is the slope of a cumulative counter, so both kinds go one way: readings that follow each other
 give an increment (a counter's difference, from zero after a reset; a rate's trapezoid), which is
 spread over the grid's cells in proportion to overlap. A cell's rate is its increments over the time
-they cover. Cells between readings further apart than max_gap are marked as uncovered.
+they cover. A cell without readings is filled if an increment was spread to it, else marked as uncovered:
+that is so between readings further apart than max_gap.
 
 Readings are first reduced per cell; only cells, at most span / width per source whatever the number
 of readings, are put in order within a source.
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 
 from derrickflow.functions.times import DAY, SLOT, floor_to
 
+#: Cells of a stretch, one day of five-minute cells.
+CELLS = 288
+
 
 def increments(kind: str, before: F.Column, after: F.Column, seconds: F.Column) -> F.Column:
     """What went by between two readings (null without one before). A counter that falls has been reset to zero in between."""
@@ -61,10 +65,13 @@ def regular(readings: DataFrame, source: str = "esp_id", value: str = "flow_rate
         {
             "near": gap < max_gap,
             "per_us": F.when(gap < max_gap, increments(kind, F.col("v_b0"), F.col("v_a"), gap / 1e6) / gap),
-            "at": F.when(F.col("slot0").isNull(), F.array("slot")).otherwise(F.sequence("slot0", "slot", F.lit(width))),
+            "from": F.coalesce("slot0", "slot"),
         }
     )
-    part = linked.withColumn("cell", F.explode("at"))
+    # a silence is cut into stretches of CELLS cells: no array is longer, however far apart two readings are
+    stretch = CELLS * width
+    part = linked.withColumn("stretch", F.explode(F.sequence(floor_to(F.col("from"), stretch), floor_to(F.col("slot"), stretch), F.lit(stretch))))
+    part = part.withColumn("cell", F.explode(F.sequence(F.greatest("from", "stretch"), F.least(F.col("slot"), F.col("stretch") + (stretch - width)), F.lit(width))))
     overlap = F.least(F.col("ts_a"), F.col("cell") + width) - F.greatest(F.col("ts_b0"), F.col("cell"))
     overlap = F.when(F.col("near"), F.greatest(F.lit(0), overlap)).otherwise(0)
     home = F.col("cell") == F.col("slot")
@@ -73,20 +80,20 @@ def regular(readings: DataFrame, source: str = "esp_id", value: str = "flow_rate
         F.col("cell").alias("slot"),
         F.when(home, F.col("n")).otherwise(0).alias("n"),
         F.when(home, F.col("mean")).alias("mean"),
-        (F.when(home, F.col("own")).otherwise(0.0) + F.coalesce(F.col("per_us") * overlap, F.lit(0.0))).alias("inc"),
+        # null where nothing is spread to a cell: that is what tells covered cells from uncovered ones
+        F.when(home, F.col("own") + F.coalesce(F.col("per_us") * overlap, F.lit(0.0))).otherwise(F.col("per_us") * overlap).alias("inc"),
         (F.when(home, F.col("ts_b") - F.col("ts_a")).otherwise(0) + overlap).alias("us"),
-        F.when(home, F.lit(2)).when(F.col("near"), 1).otherwise(0).alias("rank"),
     )
     out = spread.groupBy("src", "slot").agg(
-        F.sum("n").alias("n"), F.max("mean").alias("mean"), F.sum("inc").alias("increment"), (F.sum("us") / 1e6).alias("covered"), F.max("rank").alias("rank")
+        F.sum("n").alias("n"), F.max("mean").alias("mean"), F.sum("inc").alias("increment"), (F.sum("us") / 1e6).alias("covered")
     )
     alone = F.col("mean") if kind == "rate" else F.lit(None).cast("double")
     return out.select(
         F.col("src").alias(source),
         "slot",
-        F.element_at(F.array(F.lit("uncovered"), F.lit("filled"), F.lit("reading")), F.col("rank") + 1).alias("status"),
+        F.when(F.col("n") > 0, "reading").when(F.col("increment").isNotNull(), "filled").otherwise("uncovered").alias("status"),
         "n",
-        "increment",
+        F.coalesce("increment", F.lit(0.0)).alias("increment"),
         "covered",
         F.when(F.col("covered") > 0, F.col("increment") / F.col("covered")).otherwise(alone).alias("rate"),
     )

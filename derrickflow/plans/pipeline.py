@@ -153,4 +153,12 @@ SELECT source, count(*)::BIGINT AS n_events, sum(n)::BIGINT AS n_copies FROM e W
 g AS (SELECT esp_id, ts, lag(ts) OVER (PARTITION BY esp_id ORDER BY ts) AS before FROM v)
 SELECT esp_id, {_ISO('s')} AS slot_start FROM (SELECT esp_id, unnest(generate_series(time_bucket(INTERVAL 5 MINUTE, before) + INTERVAL 5 MINUTE,
   time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 5 MINUTE, INTERVAL 5 MINUTE)) AS s FROM g WHERE ts - before < INTERVAL 24 HOUR)""",
+    "p6_series": f"""WITH {_USABLE}, v AS (SELECT esp_id, epoch_us(ts) AS us, avg(flow_rate) AS v, count(*) AS n FROM r WHERE flow_rate IS NOT NULL AND NOT isnan(flow_rate) GROUP BY ALL),
+g AS (SELECT *, us // 300000000 AS c, lag(us) OVER w AS us0, lag(v) OVER w AS v0 FROM v WINDOW w AS (PARTITION BY esp_id ORDER BY us)),
+p AS (SELECT *, us - us0 < 86400000000 AS near, unnest(generate_series(us0 // 300000000, c)) AS cell FROM g WHERE us0 IS NOT NULL),
+o AS (SELECT esp_id, cell, 0 AS n, NULL AS v, CASE WHEN near THEN least(us, cell * 300000000 + 300000000) - greatest(us0, cell * 300000000) END AS part, (v0 + v) / 2 AS mid FROM p
+  UNION ALL SELECT esp_id, c, n, v, NULL, NULL FROM g),
+s AS (SELECT esp_id, cell, sum(n) AS n, avg(v) AS v, sum(part) AS part, sum(part * mid) AS volume FROM o GROUP BY 1, 2)
+SELECT esp_id, {_ISO('make_timestamp(cell * 300000000)')} AS slot_start, CASE WHEN n > 0 THEN 'reading' WHEN part IS NOT NULL THEN 'filled' ELSE 'uncovered' END AS status, n::BIGINT AS n,
+  round(CASE WHEN part > 0 THEN volume / part ELSE v END, 6) AS flow_rate FROM s""",
 }

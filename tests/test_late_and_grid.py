@@ -77,3 +77,30 @@ def test_gaps_of_a_day_are_marked(spark):
 def test_unknown_kind(spark):
     with pytest.raises(ValueError):
         grid(spark, [("A", 0, 1.0, "")], kind="other")
+
+
+def test_publications_come_from_the_merge(spark):
+    """Deliveries of counters in any order and number give the same hours; without the versions' maximum they don't."""
+    rng = random.Random(5)
+    rows = [(i, rng.choice("AB"), rng.randrange(2 * HOUR), HOUR + rng.randrange(6 * HOUR), float(i % 7)) for i in range(200)]
+    e = L.arrivals(readings(spark, rows))
+    every = L.counters(e)
+    take = lambda df: sorted(map(tuple, df.collect()))
+    want = take(L.hourly(e))
+    again = every.unionByName(every.where("version % 2 = 0")).orderBy(F.rand(2)).unionByName(every.orderBy(F.rand(3)))
+    assert take(L.published(again)) == want
+    # deliveries that got lost on the way count from the next one that arrives; the last of each source must come
+    assert take(L.published(every.where("version = 0"))) != want
+
+
+def test_found_slots_need_the_increments(spark):
+    """The plan of the filled slots keeps the differences of readings: the status is that of the spread increments."""
+    df = spark.createDataFrame([("A", 0, 1.0), ("A", 5 * SLOT, 3.0)], "esp_id string, ts long, flow_rate double")
+    plan = regular(df).where("status = 'filled'").select("esp_id", "slot")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lag(") >= 3 and "v_b0" in plan and "per_us" in plan
+
+
+def test_a_silence_of_decades_has_no_long_array(spark):
+    df = spark.createDataFrame([("A", 0, 1.0), ("A", 80 * 365 * 288 * SLOT + 7, 3.0)], "esp_id string, ts long, flow_rate double")
+    g = regular(df)
+    assert g.count() == 80 * 365 * 288 + 1 and g.where("status <> 'uncovered'").count() == 2
