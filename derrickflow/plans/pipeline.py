@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from derrickflow.functions.ids import identity, spelled
 from derrickflow.functions.times import iso_seconds, micros_ntz
 from derrickflow.operators import compaction, exactly_once, late_events, parse, regular_grid, spikes
+from derrickflow.operators.publication import steady
 from derrickflow.session import split_bytes, stored_bytes
 from derrickflow.sources.telemetry import registered, table, usable
 
@@ -116,7 +117,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 def p6_series(spark: SparkSession, folder: str) -> DataFrame:
     """The five-minute series of every pump."""
     g = regular_grid.regular(_usable(spark, folder))
-    return g.select("esp_id", iso_seconds(F.col("slot")).alias("slot_start"), "status", "n", F.round("rate", 6).alias("flow_rate"))
+    return g.select("esp_id", iso_seconds(F.col("slot")).alias("slot_start"), "status", "n", steady(F.col("rate")).alias("flow_rate"))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_compacted, p2_found, p2_hourly, p3_found, p3_flags, p4_found, p4_rejected, p4_events, p5_found, p5_events, p6_found, p6_series)}
@@ -160,5 +161,5 @@ o AS (SELECT esp_id, cell, 0 AS n, NULL AS v, CASE WHEN near THEN least(us, cell
   UNION ALL SELECT esp_id, c, n, v, NULL, NULL FROM g),
 s AS (SELECT esp_id, cell, sum(n) AS n, avg(v) AS v, sum(part) AS part, sum(part * mid) AS volume FROM o GROUP BY 1, 2)
 SELECT esp_id, {_ISO('make_timestamp(cell * 300000000)')} AS slot_start, CASE WHEN n > 0 THEN 'reading' WHEN part IS NOT NULL THEN 'filled' ELSE 'uncovered' END AS status, n::BIGINT AS n,
-  round(CASE WHEN part > 0 THEN volume / part ELSE v END, 6) AS flow_rate FROM s""",
+  round(CASE WHEN part > 0 THEN volume / part ELSE v END + 1e-9, 6) AS flow_rate FROM s""",
 }
