@@ -65,8 +65,8 @@ def _judged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Outliers from prose of which more than half of the characters are in lines that are neither sentences nor code."""
-    return _judged(spark, folder).where("outlier and other_share > 0.5").select("doc_id")
+    """Outliers from the prose of their language."""
+    return _judged(spark, folder).where("outlier").select("doc_id")
 
 
 def p9_statistics(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,7 +76,7 @@ def p9_statistics(spark: SparkSession, folder: str) -> DataFrame:
 
 def p9_labels(spark: SparkSession, folder: str) -> DataFrame:
     """How readers' labels agree with the verdict: documents per label and verdict."""
-    found = _judged(spark, folder).select("doc_id", (F.col("outlier") & (F.col("other_share") > 0.5)).alias("found"))
+    found = _judged(spark, folder).select("doc_id", F.col("outlier").alias("found"))
     return table(spark, folder, "doc_labels").join(found, "doc_id").groupBy("label", "found").agg(F.count("*").alias("n"))
 
 
