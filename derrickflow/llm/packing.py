@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from derrickflow.session import materialise
+
 CAPACITY, BLOCK_TOKENS, BLOCK_DOCS = 4096, 1 << 21, 1 << 17
 #: Sources that share no sequence with another source: a mirror's texts are those of the other sources.
 APART = ("scraped_mirror",)
@@ -71,21 +73,54 @@ def best_fit(sizes: np.ndarray, sources: list[int], clusters: list[tuple[int, ..
     return where, left
 
 
+def question_groups(docs: DataFrame) -> DataFrame:
+    """doc_id, asked: the least document that a document is linked with by duplicate_of, over any number of links, for the linked ones.
+
+    Connected components by alternating large and small stars: every round joins neighbours to the least of them, on a table of links
+    that is no larger than that of the documents that name another; chains and rings of any length end after few rounds.
+    """
+    link = docs.where("duplicate_of is not null and duplicate_of <> doc_id").select(F.col("doc_id").cast("long").alias("a"), F.col("duplicate_of").cast("long").alias("b"))
+    edges, before = materialise(link.distinct(), "links"), None
+    while True:
+        # large star: greater neighbours to the least of the neighbourhood; small star: the others too
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("least"))
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b")
+        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        least = down.groupBy("a").agg(F.min("b").alias("least"))
+        small = down.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b").unionByName(least.select("a", F.col("least").alias("b")))
+        edges = materialise(small.distinct(), "links")
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
+        if now == before:
+            break
+        before = now
+    roots = edges.select(F.col("b").alias("doc_id"), F.col("b").alias("asked")).distinct()
+    return edges.select(F.col("a").alias("doc_id"), F.col("b").alias("asked")).unionByName(roots)
+
+
+def conflicts(packed: DataFrame, docs: DataFrame) -> DataFrame:
+    """How many pairs of texts of one group share a sequence, as their group has more members than there are sequences: n_pairs (0 where none need to)."""
+    group = F.explode(F.array(F.struct(F.lit("text").alias("kind"), F.col("cluster").cast("long").alias("c")), F.struct(F.lit("asked").alias("kind"), F.col("asked").alias("c"))))
+    of = docs.select("doc_id", "cluster").join(question_groups(docs), "doc_id", "left").select("doc_id", group.alias("g")).where("g.c is not null")
+    last = packed.where("sequence is not null").groupBy("doc_id").agg(F.max_by("sequence", "piece").alias("sequence"))
+    n = of.join(last, "doc_id").groupBy("sequence", "g").agg(F.count("*").alias("n"))
+    return n.agg(F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0)).alias("n_pairs"))
+
+
 def pack(docs: DataFrame, capacity: int = CAPACITY, block_tokens: int = BLOCK_TOKENS, apart: tuple[str, ...] = APART, seed: int = 11) -> DataFrame:
     """The sequence of every document: doc_id, piece, sequence, start (token), n_tokens; a row per piece.
 
     docs: doc_id (unique), n_tokens, source, cluster (a hash of the text, or null), duplicate_of (or null); other
     columns are ignored. A text stays whole unless it exceeds the capacity: it is then cut into full
     sequences and a rest, which is packed like a text. A text of 0 (or null) tokens has one piece of no sequence.
-    Documents with equal cluster, or that name the same document in duplicate_of, conflict; a null
+    Documents with equal cluster, or linked by duplicate_of over any number of documents, conflict; a null
     source is a source of its own. No documents give no rows.
     """
     spark = docs.sparkSession
     total, n = docs.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count("*")).first()
     blocks = max(1, -(-total // block_tokens), -(-n // BLOCK_DOCS))
-    item = docs.select(
-        "doc_id", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), "source", F.col("cluster").cast("long").alias("cluster"), F.col("duplicate_of").cast("long").alias("duplicate_of")
-    )
+    item = docs.select("doc_id", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), "source", F.col("cluster").cast("long").alias("cluster"), "duplicate_of")
+    item = item.join(question_groups(docs), "doc_id", "left").drop("duplicate_of")
 
     def fill(key, b):
         b = b.sort_values("doc_id", kind="stable").reset_index(drop=True)
@@ -96,8 +131,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, block_tokens: int = BLOCK_TO
             code.append(names.setdefault(s if isinstance(s, str) else None, len(names)))
         lonely = sum(1 << k for s, k in names.items() if s in apart)
         groups = []
-        for doc, c, d in zip(b["doc_id"], b["cluster"], b["duplicate_of"]):
-            groups.append(tuple(x for x in (None if pd.isna(c) else ("text", int(c)), ("asked", int(doc if pd.isna(d) else d))) if x))
+        for c, d in zip(b["cluster"], b["asked"]):
+            groups.append(tuple(x for x in (None if pd.isna(c) else ("text", int(c)), None if pd.isna(d) else ("asked", int(d))) if x))
         some = np.flatnonzero(rest > 0)
         where, left = best_fit(rest[some], [code[i] for i in some], [groups[i] for i in some], capacity, lonely)
         base, rows, full = block << 32, [], len(left)

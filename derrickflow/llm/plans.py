@@ -14,10 +14,14 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
-def _packed(spark: SparkSession, folder: str) -> DataFrame:
+def _items(spark: SparkSession, folder: str) -> DataFrame:
     same = F.when(F.length(F.trim("text")) > 0, F.xxhash64(F.lower(F.regexp_replace(F.trim("text"), r"\s+", " "))))
     docs = _documents(spark, folder).select("doc_id", "text", "source", "duplicate_of", same.alias("cluster"))
-    return packing.pack(materialise(tokens.sized(docs), "sizes"))
+    return materialise(tokens.sized(docs), "sizes")
+
+
+def _packed(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_items(spark, folder))
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,6 +40,12 @@ def p7_packed(spark: SparkSession, folder: str) -> DataFrame:
     return _packed(spark, folder)
 
 
+def p7_conflicts(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of texts of one group that had to share a sequence."""
+    docs = _items(spark, folder)
+    return packing.conflicts(packing.pack(docs), docs)
+
+
 def _mix(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     docs = materialise(tokens.sized(_documents(spark, folder).select("doc_id", "text", "source")), "sizes")
     return docs, mixing.weights(docs, table(spark, folder, "mix_targets"))
@@ -80,6 +90,6 @@ def p9_labels(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "doc_labels").join(found, "doc_id").groupBy("label", "found").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p7_sequences, p7_packed, p8_found, p8_mix, p8_shares, p9_found, p9_statistics, p9_labels)}
+QUERIES = {f.__name__: f for f in (p7_found, p7_sequences, p7_packed, p7_conflicts, p8_found, p8_mix, p8_shares, p9_found, p9_statistics, p9_labels)}
 #: Token sizes and text statistics have no SQL; these queries are tested against brute force.
 SQL: dict[str, str] = {}
