@@ -18,17 +18,20 @@ def _usable(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    """Objects that others hold entirely, as found and left out by the compaction."""
+    """Objects that others hold entirely: left out by the compaction, whose files hold all their events."""
     done = compaction.compact(spark, f"{folder}/telemetry.parquet")
     return done.absorbed.select(F.col("uri").alias("source_uri"))
 
 
 def p1_compacted(spark: SparkSession, folder: str) -> DataFrame:
-    """What the compaction made per pump: files, rows, events."""
+    """What the compacted files hold per pump: rows, events."""
     done = compaction.compact(spark, f"{folder}/telemetry.parquet")
-    rows = spark.read.parquet(done.folder).groupBy("esp_id").agg(F.count("*").alias("n_rows"), F.countDistinct(identity(F.col("event_id"))).alias("n_events"))
-    files = done.files.groupBy(F.col("key").alias("esp_id")).agg(F.count("*").alias("n_files"))
-    return rows.join(files, rows.esp_id.eqNullSafe(files.esp_id)).select(rows.esp_id, "n_rows", "n_events", "n_files")
+    return spark.read.parquet(done.folder).groupBy("esp_id").agg(F.count("*").alias("n_rows"), F.countDistinct(identity(F.col("event_id"))).alias("n_events"))
+
+
+def p1_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The compacted files: pump, blocks, rows, bytes. Their number depends on the target size, so this has no SQL."""
+    return compaction.compact(spark, f"{folder}/telemetry.parquet").files.select(F.col("key").alias("esp_id"), "file", "n_blocks", "n_rows", "n_bytes")
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,7 +123,7 @@ def p6_series(spark: SparkSession, folder: str) -> DataFrame:
     return g.select("esp_id", iso_seconds(F.col("slot")).alias("slot_start"), "status", "n", steady(F.col("rate")).alias("flow_rate"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_compacted, p2_found, p2_hourly, p3_found, p3_flags, p4_found, p4_rejected, p4_events, p5_found, p5_events, p6_found, p6_series)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_compacted, p1_files, p2_found, p2_hourly, p3_found, p3_flags, p4_found, p4_rejected, p4_events, p5_found, p5_events, p6_found, p6_series)}
 
 _UUID = "right(regexp_replace(lower(event_id), '[^0-9a-f]', '', 'g'), 32)"
 _ID = f"""(CASE WHEN trim(coalesce(event_id, '')) = '' THEN NULL ELSE concat_ws('-', substr({_UUID}, 1, 8), substr({_UUID}, 9, 4),
@@ -139,7 +142,7 @@ SELECT DISTINCT a AS source_uri FROM p JOIN o AS x ON x.u = a JOIN o AS y ON y.u
 WHERE c = x.n AND x.nameless = 0 AND (y.n > x.n OR (y.n = x.n AND b < a))""",
     "p1_compacted": f"""WITH k AS (SELECT {_ID} AS id, esp_id FROM telemetry),
 e AS (SELECT id, min(esp_id) AS esp_id FROM k WHERE id IS NOT NULL GROUP BY id UNION ALL SELECT id, esp_id FROM k WHERE id IS NULL)
-SELECT esp_id, count(*)::BIGINT AS n_rows, count(DISTINCT id)::BIGINT AS n_events, 1::BIGINT AS n_files FROM e GROUP BY esp_id""",
+SELECT esp_id, count(*)::BIGINT AS n_rows, count(DISTINCT id)::BIGINT AS n_events FROM e GROUP BY esp_id""",
     "p2_found": f"""WITH {_USABLE}, e AS (SELECT id, esp_id, date_trunc('hour', ts) AS h, min(arrived) AS a FROM r WHERE arrived IS NOT NULL GROUP BY 1, 2, 3)
 SELECT DISTINCT esp_id, {_ISO('h')} AS hour_start FROM e WHERE a > h + INTERVAL 65 MINUTE AND a <= h + INTERVAL 7 HOUR""",
     "p2_hourly": f"""WITH {_USABLE}, e AS (SELECT id, esp_id, date_trunc('hour', ts) AS h, arrived AS a, CASE WHEN isnan(flow_rate) THEN NULL ELSE flow_rate END AS v,

@@ -63,3 +63,35 @@ def test_empty_table(spark, tmp_path):
     write(spark, [], str(tmp_path / "t"), 1)
     done = compact(spark, str(tmp_path / "t"))
     assert done.rows == 0 and done.files.count() == 0 and done.absorbed.count() == 0
+
+
+def test_untouched_row_groups_are_copied_undecoded(spark, tmp_path):
+    """Files of one pump without repeats are joined as they are; only those that lose a row are decoded, and different schemas stay apart."""
+    at = str(tmp_path / "t")
+    for n in range(12):
+        spark.createDataFrame([(ident(100 * n + i), f"ESP-{n % 3}", f"s3://b/{n:02}", "k", "p") for i in range(5)], SCHEMA).coalesce(1).write.mode("append").parquet(at)
+    done = compact(spark, at)
+    assert done.decoded == 0 and done.rows == 60 and done.files.count() == 3
+    again = [(ident(100 * n), "ESP-1", f"s3://b/{n:02}", "k", "p") for n in range(4)] + [(ident(999), None, "s3://b/99", "k", "p")]
+    spark.createDataFrame(again, SCHEMA).coalesce(1).write.mode("append").parquet(at)
+    done = compact(spark, at)
+    out = spark.read.parquet(done.folder)
+    assert 0 < done.decoded < 40 and done.rows == out.count() == 61 == out.select("event_id").distinct().count()
+
+
+def test_cases_come_from_what_was_copied(spark, tmp_path):
+    """An object counts as absorbed only where the copied rows hold its events."""
+    from derrickflow.operators import compaction as C
+
+    rows = [(ident(i), "ESP-1", "s3://b/big", "k", None) for i in range(6)] + [(ident(i), "ESP-1", "s3://b/small", "k", None) for i in range(2)]
+    rows += [(ident(i), "ESP-1", "s3://b/same", "k", None) for i in range(2)]
+    write(spark, rows, str(tmp_path / "t"))
+    done = compact(spark, str(tmp_path / "t"))
+    assert {r.uri for r in done.absorbed.collect()} == {"s3://b/small", "s3://b/same"}
+    found = C.located(spark.read.parquet(str(tmp_path / "t")), "event_id", "source_uri")
+    again = C.repeats(found)
+    held = C.absorbed(found, again)
+    copied = spark.read.parquet(done.folder).select(identity(F.col("event_id")).alias("id"), F.col("source_uri").alias("uri"))
+    assert {r.uri for r in copied.select("uri").distinct().collect()} == {"s3://b/big"}
+    assert C.left_out(held, again, copied).count() == 2
+    assert C.left_out(held, again, copied.limit(0)).count() == 0 == C.left_out(held, again, found.select("id", "uri").where("uri <> 's3://b/big'")).count()
