@@ -72,7 +72,8 @@ def repeats(rows: DataFrame) -> DataFrame:
         .where("n > 1")
         .select("id", "kept", (F.col("a") != F.col("b")).alias("several"))
     )
-    return rows.join(ids, "id")
+    # written first, so that its size is known: if it is small, the join moves no rows
+    return rows.join(materialise(ids, "ids"), "id")
 
 
 def absorbed(rows: DataFrame, again: DataFrame) -> DataFrame:
@@ -251,10 +252,10 @@ def compact(spark: SparkSession, path: str, key: str = "event_id", group: str =
 
 def left_out(held: DataFrame, again: DataFrame, copied: DataFrame) -> DataFrame:
     """The objects of held (uri, held_by) of which the copied rows (id, uri) hold every event and no row of the object's own."""
-    post = again.join(held, "uri", "left_semi").select("uri", "id").distinct()
-    there = post.join(copied.where("id is not null").select("id", F.lit(1).alias("one")), "id", "left")
-    whole = there.groupBy("uri").agg(F.count("*").alias("n"), F.count("one").alias("n_there")).where("n = n_there")
-    return held.join(whole.select("uri"), "uri", "left_semi").join(copied.select("uri").distinct(), "uri", "left_anti")
+    post = materialise(again.join(held, "uri", "left_semi").select(F.col("uri").alias("of"), "id").distinct(), "left-out")
+    there = copied.select("id").join(post, "id").distinct().groupBy("of").agg(F.count("*").alias("n_there"))
+    whole = post.groupBy("of").agg(F.count("*").alias("n")).join(there, "of").where("n = n_there").select(F.col("of").alias("uri"))
+    return held.join(whole, "uri", "left_semi").join(copied.select("uri").distinct(), "uri", "left_anti")
 
 
 def join_blocks(blocks: DataFrame, folder: str, target: int = TARGET, tasks: int = 16) -> DataFrame:
