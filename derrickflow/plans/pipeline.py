@@ -85,29 +85,27 @@ def p4_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def delivery_order(telemetry: DataFrame) -> F.Column:
-    """Text that sorts deliveries by arrival (unknown last), object and content."""
+    """Bytes that sort deliveries by arrival (unknown last), object and content."""
     arrived = F.coalesce(micros_ntz(F.col("ingested_at")), F.lit((1 << 63) - 1))
-    return F.concat_ws("|", F.lpad(arrived.cast("string"), 20, "0"), F.coalesce("source_uri", F.lit("")), F.hex(F.xxhash64(*[F.col(c) for c in telemetry.columns])))
+    number = lambda c: F.unhex(F.lpad(F.hex(c), 16, "0"))
+    return F.concat(number(arrived), F.encode(F.coalesce("source_uri", F.lit("")), "UTF-8"), F.unhex(F.lit("00")), number(F.xxhash64(*[F.col(c) for c in telemetry.columns])))
 
 
-def _stored(spark: SparkSession, folder: str) -> DataFrame | None:
-    t = table(spark, folder, "telemetry")
-    return exactly_once.exactly_once(t, identity(F.col("event_id")), delivery_order(t), stored_bytes(spark, f"{folder}/telemetry.parquet"), "telemetry")
+def _stored(spark: SparkSession, folder: str) -> exactly_once.Store:
+    path = f"{folder}/telemetry.parquet"
+    store = exactly_once.Store.for_bytes(spark, stored_bytes(spark, path))
+    store.upsert_files(path, "telemetry", ["event_id"], identity(F.col("event_id")), delivery_order(table(spark, folder, "telemetry")))
+    return store
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Identifiers delivered more than once, from the compacted store's copies."""
-    kept = _stored(spark, folder)
-    if kept is None:
-        return spark.createDataFrame([], "event_id string")
-    return kept.where("_copies > 1 and _id is not null").select(spelled(F.col("_id")).alias("event_id"))
+    return _stored(spark, folder).index().where("_copies > 1").select(spelled(F.col("_id")).alias("event_id"))
 
 
 def p5_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Exactly one row per event: counts per pump and source of the compacted store."""
-    kept = _stored(spark, folder)
-    if kept is None:
-        return spark.createDataFrame([], "source string, n_events long, n_copies long")
+    """Exactly one row per event: counts per source of the compacted store's messages."""
+    kept = _stored(spark, folder).messages(["source"])
     return kept.where("_id is not null").groupBy("source").agg(F.count("*").alias("n_events"), F.sum("_copies").alias("n_copies"))
 
 

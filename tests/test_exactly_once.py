@@ -62,3 +62,29 @@ def test_clashing_names(spark):
     up(store, df, "one")
     row = store.compact().first()
     assert (row.n, row._id_given, row._copies_given, row._copies) == (0, 3, "r", 2)
+
+
+def blocks(store):
+    return store.spark.read.option("recursiveFileLookup", "true").parquet(f"{store.folder}/catalogue").where("kind = 'run'")
+
+
+def test_blocks_grow_with_the_batch_not_with_the_buckets(spark):
+    """A small batch in a store of many buckets makes few blocks, and rows without an identifier make none."""
+    df = spark.range(6000).select(F.when(F.col("id") % 10 > 2, F.sha2(F.col("id").cast("string"), 256).substr(1, 32)).alias("event_id"), F.col("id").cast("int").alias("n"))
+    store = Store(spark, 24)
+    store.upsert(df, "one", identity(F.col("event_id")), F.lpad(F.col("n").cast("string"), 8, "0"))
+    assert blocks(store).count() <= 24 + 6000 // 4096 + 2 and blocks(store).agg(F.sum("n_rows")).first()[0] == 4200
+    out = store.compact()
+    assert out.count() == 6000 and out.where("_id is null").count() == 1800 and store.lost().count() == 0
+
+
+def test_messages_stay_where_they_are(spark, tmp_path):
+    """Files are indexed in place; the kept messages are read without the lost places, whatever columns are wanted."""
+    at = str(tmp_path / "t")
+    frame(spark, [(A, 2, "x", "p"), (A.upper(), 1, "y", "q"), (B, 3, "z", "r"), (None, 4, "w", "s")]).coalesce(1).write.parquet(at)
+    store = Store(spark, 2)
+    for _ in range(2):
+        store.upsert_files(at, "t", ["event_id"], identity(F.col("event_id")), F.lpad(F.col("n").cast("string"), 5, "0"))
+    assert sorted((r.uri, r._copies) for r in store.messages(["uri"]).collect()) == [("q", 2), ("r", 1), ("s", 1)]
+    assert store.lost().count() == 1 and {r._copies for r in store.index().collect()} == {1, 2}
+    assert set(store.messages().columns) == {"event_id", "n", "bucket", "uri", "_id", "_copies"}
