@@ -5,15 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Extended ISO-8601 with a zone; a text without one is no event time.
+#: The common form, which is read by the engine's own parser. A text without a zone is no event time.
 ZONED = r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d(:\d\d(\.\d{1,9})?)?(Z|[+-]\d\d:?\d\d)$"
+#: All other forms of ISO-8601 with a zone: basic and week dates, hours only, decimal commas, any fraction, offsets with seconds.
+_DATE = r"^(\d{4}-\d\d-\d\d|\d{8}|\d{4}-W\d\d(?:-\d)?|\d{4}W\d\d\d?)"
+_ZONE = r"(Z|[+-]\d\d(?::\d\d(?::\d\d(?:\.\d+)?)?|\d\d(?:\d\d(?:\.\d+)?)?)?)$"
+_TIME = r"\D(\d\d(?::\d\d(?::\d\d(?:[.,]\d+)?)?|\d\d(?:\d\d(?:[.,]\d+)?)?)?)"
 HOUR, SLOT, DAY = 3_600_000_000, 300_000_000, 86_400_000_000
 
 
 def micros(text: Column) -> Column:
-    """Microseconds since 1970 UTC; null for null, unzoned or unreadable text (never an error)."""
+    """Microseconds since 1970 UTC; null for null, unzoned or unreadable text (never an error). Fractions beyond microseconds are cut."""
     full = F.when(F.substring(text, 17, 1) == ":", text).otherwise(F.concat(F.substring(text, 1, 16), F.lit(":00"), F.substring(text, 17, 99)))
-    return F.when(text.rlike(ZONED), F.unix_micros(F.try_to_timestamp(full)))
+    return F.when(text.rlike(ZONED), F.unix_micros(F.try_to_timestamp(full))).when(text.rlike(_DATE + _TIME + _ZONE), _other(text))
+
+
+def _clock(digits: Column) -> Column:
+    """Microseconds of hhmmss with an optional fraction, the later parts of which may lack; null if a part is out of range."""
+    whole = F.rpad(F.regexp_extract(digits, r"^\d+", 0), 6, "0")
+    h, m, s = (F.substring(whole, at, 2).cast("long") for at in (1, 3, 5))
+    part = F.rpad(F.regexp_extract(digits, r"\.(\d+)$", 1), 6, "0").cast("long")
+    return F.when((h < 24) & (m < 60) & (s < 60), ((h * 60 + m) * 60 + s) * 1_000_000 + part)
+
+
+def _other(text: Column) -> Column:
+    get = lambda k: F.regexp_extract(text, _DATE + _TIME + _ZONE, k)
+    bare = F.replace(get(1), F.lit("-"), F.lit(""))
+    plain = F.try_to_date(F.when(~F.contains(bare, F.lit("W")), F.concat_ws("-", F.substring(bare, 1, 4), F.substring(bare, 5, 2), F.substring(bare, 7, 2))))
+    # a week date counts from the Monday of the week of 4 January
+    fourth = F.try_to_date(F.when(F.contains(bare, F.lit("W")), F.concat(F.substring(bare, 1, 4), F.lit("-01-04"))))
+    week, day = F.substring(bare, 6, 2).try_cast("int"), F.coalesce(F.substring(bare, 8, 1).try_cast("int"), F.lit(1))
+    dated = F.date_add(fourth, (week - 1) * 7 + day - 1 - F.weekday(fourth))
+    date = F.coalesce(plain, F.when((F.weekofyear(dated) == week) & day.between(1, 7), dated))
+    clock, zone = (F.replace(F.replace(get(k), F.lit(":"), F.lit("")), F.lit(","), F.lit(".")) for k in (2, 3))
+    offset = F.when(zone == "Z", F.lit(0)).otherwise(F.when(F.substring(zone, 1, 1) == "-", -1).otherwise(1) * _clock(F.substring(zone, 2, 99)))
+    return F.unix_date(date).cast("long") * DAY + _clock(clock) - offset
 
 
 def micros_ntz(stamp: Column) -> Column:

@@ -38,8 +38,8 @@ SPAN = pa.schema([("path", pa.string()), ("file", pa.int64()), ("no", pa.int32()
 BUFFER = 48 << 20
 #: Rows of a stretch by which places find their row group.
 STRETCH = 1 << 16
-#: Entries of a block at least; it may hold several buckets. Entries a bucket is to have, and bytes of one.
-BLOCK, FULL, ENTRY_BYTES = 1 << 12, 1 << 19, 64
+#: Entries of a block at least; it may hold several buckets. Entries a bucket is to have, bytes of messages for one, and buckets at most (their runs are then more).
+BLOCK, FULL, ENTRY_BYTES, MOST = 1 << 12, 1 << 17, 64, 1 << 16
 #: Runs merged at once. More of them are merged in several levels, each of which writes its runs.
 FAN_IN = 64
 
@@ -146,7 +146,7 @@ class Store:
     @classmethod
     def for_bytes(cls, spark: SparkSession, n_bytes: int, folder: str | None = None) -> Store:
         """A store whose buckets hold about FULL entries (taking ENTRY_BYTES bytes of messages for one), and are no fewer than the cores."""
-        return cls(spark, max(spark.sparkContext.defaultParallelism, -(-n_bytes // (FULL * ENTRY_BYTES))), folder)
+        return cls(spark, min(MOST, max(spark.sparkContext.defaultParallelism, -(-n_bytes // (FULL * ENTRY_BYTES)))), folder)
 
     def upsert(self, batch: DataFrame, name: str, identity: F.Column, order: F.Column) -> None:
         """Add a batch under a name that is its own; doing so again with that name replaces the batch.

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import math
-from datetime import datetime, timedelta, timezone
 
 import numpy as np
 import pandas as pd
@@ -18,30 +17,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from derrickflow.functions import contract
-from derrickflow.functions.times import iso_micros
+from derrickflow.functions.times import iso_micros, micros
 from derrickflow.operators import automaton as A
 
 TEXTS = ("event_id", "timestamp", "esp_id", "source", "run_id", "status", "scenario")
 NUMBERS = contract.REQUIRED_NUMBERS + contract.OPTIONAL_NUMBERS
 CSV_KIND = "historical_csv"
 TYPED = (
-    "source_uri string, source_kind string, line_no int, ingested_at timestamp_ntz, malformed string, offset int, schema_version double, version_text string, ts long, "
+    "source_uri string, source_kind string, line_no int, ingested_at timestamp_ntz, malformed string, offset int, schema_version double, version_text string, "
     + ", ".join(f"{c} string" for c in TEXTS) + ", " + ", ".join(f"{c} double" for c in NUMBERS)
 )
 #: Marks that may stand before or after a header's names and count for nothing.
 STRAY = "﻿​‌‍⁠  \t\r\n\"'"
-_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
-
-
-def micros_of(text) -> int | None:
-    """Microseconds of an ISO-8601 text with a zone; None for anything else."""
-    if not isinstance(text, str) or not text:
-        return None
-    try:
-        t = datetime.fromisoformat(text)
-        return None if t.tzinfo is None else (t.astimezone(timezone.utc) - _EPOCH) // timedelta(microseconds=1)
-    except (ValueError, OverflowError):
-        return None
 
 
 def _number(value):
@@ -162,7 +149,6 @@ def _typed(batch: pd.DataFrame) -> pd.DataFrame:
         v = event.get("schema_version")
         row["schema_version"] = _number(float(v) if isinstance(v, bool) else v)
         row["version_text"] = repr(v)
-        row["ts"] = micros_of(event.get("timestamp"))
         rows[i] = row
     names: dict = {}
     for i, (fields, why, at) in zip(as_csv, csv_records([texts[i].rstrip("\r\n") for i in as_csv])) if as_csv else ():
@@ -179,28 +165,27 @@ def _typed(batch: pd.DataFrame) -> pd.DataFrame:
             event = dict(zip(names[head], fields))
             row = {c: event.get(c) or None for c in TEXTS} | {c: _csv_number(event.get(c)) for c in NUMBERS}
             v = event.get("schema_version") or None
-            row["schema_version"], row["version_text"], row["ts"] = _csv_number(v), repr(v), micros_of(event.get("timestamp"))
+            row["schema_version"], row["version_text"] = _csv_number(v), repr(v)
             rows[i] = row
-    out = pd.DataFrame(rows, columns=["malformed", "offset", "schema_version", "version_text", "ts", *TEXTS, *NUMBERS])
+    out = pd.DataFrame(rows, columns=["malformed", "offset", "schema_version", "version_text", *TEXTS, *NUMBERS])
     for c in ("source_uri", "source_kind", "line_no", "ingested_at"):
         out[c] = batch[c].to_numpy()
     for c in ("malformed", "version_text", *TEXTS):
         out[c] = out[c].astype(object).where(out[c].notna(), None)
-    out["offset"], out["ts"] = out["offset"].astype("Int32"), out["ts"].astype("Int64")
+    out["offset"] = out["offset"].astype("Int32")
     for c in ("schema_version", *NUMBERS):
         # an absent value is null, a present one that is no number NaN; pandas' own floats know no difference
         out[c] = pd.Series(pa.array([r.get(c) for r in rows], pa.float64()), dtype=pd.ArrowDtype(pa.float64()))
     return out
 
 
-def parse_lines(lines: DataFrame, pumps: DataFrame) -> DataFrame:
-    """Every line that is no CSV header, typed and judged: TYPED's columns, rule_id and reason.
+def typed_lines(lines: DataFrame) -> DataFrame:
+    """Every line that is no CSV header, typed: TYPED's columns, and ts (microseconds, null for no zoned ISO-8601 time).
 
     lines: source_uri, source_kind, line_no, payload, ingested_at, other columns are ignored. A line of
     historical_csv numbered 1 is its object's header (the least payload, if delivered more than once);
     every other kind is read as JSON. A null or empty line, or a CSV line whose object has no header, is
-    MALFORMED_PAYLOAD. pumps: registered esp_id, each once. Repeated lines are each judged; an empty
-    table gives an empty one.
+    malformed, with the reason. In number columns an absent value is null, NaN one that is no finite number.
     """
     use = lines.select("source_uri", "source_kind", F.col("line_no").cast("int").alias("line_no"), "payload", F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"))
     head = F.coalesce((F.col("source_kind") == CSV_KIND) & (F.col("line_no") == 1), F.lit(False))
@@ -211,8 +196,16 @@ def parse_lines(lines: DataFrame, pumps: DataFrame) -> DataFrame:
         for b in batches:
             yield _typed(b)
 
+    return body.mapInPandas(typed, TYPED).withColumn("ts", micros(F.col("timestamp")))
+
+
+def parse_lines(lines: DataFrame, pumps: DataFrame) -> DataFrame:
+    """typed_lines(), judged: with rule_id and reason.
+
+    pumps: registered esp_id, each once. Repeated lines are each judged; an empty table gives an empty one.
+    """
     known = pumps.select(F.col("esp_id").alias("known_id"))
-    rows = body.mapInPandas(typed, TYPED).join(known, F.col("esp_id") == F.col("known_id"), "left")
+    rows = typed_lines(lines).join(known, F.col("esp_id") == F.col("known_id"), "left")
     return contract.judge(rows, F.col("known_id").isNotNull(), F.col("ts"), F.col("malformed"), F.col("version_text")).drop("known_id")
 
 

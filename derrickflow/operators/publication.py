@@ -33,10 +33,14 @@ def placed(scan: DataFrame) -> DataFrame:
 
 
 def validated(rows: DataFrame, pumps: DataFrame) -> DataFrame:
-    """rows with rule_id, reason, id (identity), ts (microseconds) and event_date (UTC); the join can't multiply rows."""
+    """rows with rule_id, reason, id (identity), ts (microseconds) and event_date (UTC); the join can't multiply rows.
+
+    rows of a raw scan have malformed, the reason why a record is none, which breaks the first rule; and version_text.
+    """
     known = pumps.select(F.col("esp_id").alias("_known")).distinct()
     r = rows.withColumns({"id": identity(F.col("event_id")), "ts": micros(F.col("timestamp"))})
-    r = contract.judge(r.join(known, F.col("esp_id") == F.col("_known"), "left"), F.col("_known").isNotNull(), F.col("ts"))
+    scan = [F.col(c) if c in rows.columns else None for c in ("malformed", "version_text")]
+    r = contract.judge(r.join(known, F.col("esp_id") == F.col("_known"), "left"), F.col("_known").isNotNull(), F.col("ts"), *scan)
     return r.withColumn("event_date", F.to_date(F.timestamp_micros("ts"))).drop("_known")
 
 

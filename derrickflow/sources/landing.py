@@ -2,38 +2,95 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from derrickflow.functions import contract
 from derrickflow.functions.times import iso_micros
 from derrickflow.functions.uuids import EVENTS, uuid5
+from derrickflow.operators import parse
+from derrickflow.sources.files import resolve
+
+#: Kinds of raw objects.
+KINDS = (parse.CSV_KIND, "realtime_json")
+
 
-_TYPE = {"schema_version": "int"} | dict.fromkeys(contract.REQUIRED_NUMBERS + contract.OPTIONAL_NUMBERS, "double")
-EVENT = ", ".join(f"{f} {_TYPE.get(f, 'string')}" for f in contract.FIELDS)
+def _plain(uri: Column) -> Column:
+    return F.regexp_replace(uri, "^s3[an]?://", "s3://")
 
 
 def source_uri() -> Column:
     """The scanned file's URI with object-store scheme variants made equal."""
-    return F.regexp_replace(F.col("_metadata.file_path"), "^s3[an]?://", "s3://")
+    return _plain(F.col("_metadata.file_path"))
+
+
+def land(lines: DataFrame, to: str) -> None:
+    """Write undecoded lines (source_uri, source_kind, line_no, payload) as one text file per object: to/kind/<hash of the URI>. A null payload is an empty line.
+
+    An object's lines are held by one task: objects are small here, which is their very problem.
+    """
+
+    def write(table: pa.Table) -> pa.Table:
+        table = table.sort_by("line_no")
+        kind, uri = table.column("source_kind")[0].as_py(), table.column("source_uri")[0].as_py()
+        fs, base = resolve(f"{to}/{kind}")
+        fs.create_dir(base, recursive=True)
+        text = "".join(f"{x or ''}\n" for x in table.column("payload").to_pylist())
+        with fs.open_output_stream(f"{base}/{hashlib.sha1(uri.encode()).hexdigest()}.txt") as sink:
+            sink.write(text.encode())
+        return pa.table({"n": [table.num_rows]})
+
+    for kind in KINDS:
+        fs, base = resolve(f"{to}/{kind}")
+        fs.create_dir(base, recursive=True)
+    some = lines.where("source_uri is not null and source_kind is not null").select("source_uri", "source_kind", F.col("line_no").cast("int").alias("line_no"), "payload")
+    some.groupBy("source_kind", "source_uri").applyInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
+def lines_of(spark: SparkSession, paths: str | list[str], kind: str) -> DataFrame:
+    """The undecoded lines of raw files, as parse.typed_lines takes them: source_uri, source_kind, line_no, payload, ingested_at.
+
+    line_no is 1 for the first line of a file and null for the others: files are read in splits, of which only the first knows its lines' numbers.
+    """
+    raw = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+
+    def first(batches):
+        seen = None
+        for b in batches:
+            path, at = b.column("path"), b.column("at")
+            # a split's rows come in order; a partition holds whole splits, one after the other
+            starts = pc.and_(pc.equal(at, 0), pc.not_equal(path, pa.concat_arrays([pa.array([seen], pa.string()), path[:-1].cast(pa.string())]).fill_null("")))
+            seen = path[-1].as_py() if b.num_rows else seen
+            number = pc.if_else(starts, pa.scalar(1, pa.int32()), pa.scalar(None, pa.int32()))
+            yield pa.RecordBatch.from_arrays([path, number, b.column("value")], names=["path", "line_no", "payload"])
+
+    found = raw.mapInArrow(first, "path string, line_no int, payload string")
+    return found.select(_plain(F.col("path")).alias("source_uri"), F.lit(kind).alias("source_kind"), "line_no", "payload", F.lit(None).cast("timestamp_ntz").alias("ingested_at"))
+
+
+def read_events(spark: SparkSession, paths: str | list[str], kind: str) -> DataFrame:
+    """Events of raw files of one kind: the contract's fields, malformed (why a line is no record at all, or null), version_text, source_uri.
+
+    CSV files are read each by its own header, whatever its order; absent columns are null, other columns ignored. A number that is
+    none is NaN, which the contract rejects.
+    """
+    t = parse.typed_lines(lines_of(spark, paths, kind))
+    version = F.when(F.col("schema_version").between(-1e9, 1e9) & (F.col("schema_version") == F.floor("schema_version")), F.col("schema_version").cast("int"))
+    return t.select(*[version.alias(f) if f == "schema_version" else f for f in contract.FIELDS], "malformed", "version_text", "source_uri")
 
 
 def read_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Events of CSV files by header name: absent columns are null, unreadable numbers too; other columns are ignored."""
-    raw = spark.read.option("header", True).csv(paths)
-    at = {c.strip("﻿ "): c for c in raw.columns}
-    quoted = lambda c: F.col(f"`{c}`")
-    cols = [quoted(at[f]).try_cast(_TYPE.get(f, "string")).alias(f) if f in at else F.lit(None).cast(_TYPE.get(f, "string")).alias(f) for f in contract.FIELDS]
-    return raw.select(*cols, source_uri().alias("source_uri"))
+    """read_events() of CSV files with headers."""
+    return read_events(spark, paths, parse.CSV_KIND)
 
 
 def read_json(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Events of JSON-lines files, with malformed: the line, where it is no JSON object at all."""
-    raw = spark.read.schema(EVENT + ", _corrupt_record string").json(paths)
-    none = F.lit(True)
-    for f in contract.FIELDS:
-        none = none & F.col(f).isNull()
-    return raw.select(*contract.FIELDS, F.when(none, F.col("_corrupt_record")).alias("malformed"), source_uri().alias("source_uri"))
+    """read_events() of JSON-lines files."""
+    return read_events(spark, paths, KINDS[1])
 
 
 def union_sources(historical: DataFrame, realtime: DataFrame) -> DataFrame:
