@@ -44,11 +44,12 @@ def shown_severity(low_flow_scenario: bool = True) -> Column:
     return (c.when(F.col("scenario") == "low_flow", "warning") if low_flow_scenario else c).otherwise("normal")
 
 
-def level(value: Column, warn: float | None, critical: float | None, below: bool = False) -> Column:
-    """normal, warning or critical of a gauge; unknown for null and NaN. `below`: low values are bad."""
+def level(value: Column, warn: float | None, critical: float | None, below: bool = False, reach: bool = True) -> Column:
+    """normal, warning or critical of a gauge; unknown for null and NaN. `below`: low values are bad; else a limit is broken when reached, or (reach=False) exceeded."""
+    over = lambda limit: value < limit if below else value >= limit if reach else value > limit
     out = F.when(value.isNull() | F.isnan(value), "unknown")
     if critical is not None:
-        out = out.when(value < critical if below else value >= critical, "critical")
+        out = out.when(over(critical), "critical")
     if warn is not None:
-        out = out.when(value < warn if below else value >= warn, "warning")
+        out = out.when(over(warn), "warning")
     return out.otherwise("normal")

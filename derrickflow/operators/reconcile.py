@@ -31,5 +31,5 @@ def dry_run(validated: DataFrame) -> DataFrame:
 
 
 def freshness(age_seconds: Column, loaded: Column, ttl: float = 10.0, limit: float = 45.0) -> Column:
-    """fresh within ttl; stale while within limit (or loading failed within it); else, and for an unknown age, unavailable."""
-    return F.when((age_seconds < ttl) & loaded, "fresh").when(age_seconds < limit, "stale").otherwise("unavailable")
+    """fresh within ttl, where nothing is loaded; beyond it, and for an unknown age, fresh after a good load. After a failed one stale within limit, else unavailable."""
+    return F.when((age_seconds < ttl) | loaded, "fresh").when(age_seconds < limit, "stale").otherwise("unavailable")

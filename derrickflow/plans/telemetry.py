@@ -102,6 +102,16 @@ def union_sources(spark, folder):
     return both.groupBy("source_kind").agg(F.count("*").alias("n"), F.count("scenario").alias("n_scenario"))
 
 
+@query
+def landed_lines(spark, folder):
+    """Raw lines landed as files, one per object, read by the batch path and judged: lines by kind and rule."""
+    to, lines = scratch(spark, "landed"), table(spark, folder, "raw_lines")
+    landing.land(lines, to)
+    some = [landing.read_events(spark, f"{to}/{kind}", kind).withColumn("source_kind", F.lit(kind)) for kind in landing.KINDS]
+    v = pub.validated(landing.union_sources(*some), registered(spark, folder))
+    return v.groupBy("source_kind", "rule_id").agg(F.count("*").alias("n"))
+
+
 @query
 def window_lookback(spark, folder):
     v = _validated(spark, folder).where(F.col("rule_id") == contract.OK)
@@ -229,8 +239,10 @@ def gauge_levels(spark, folder):
         share("motor_temperature", 140.0).alias("temperature_percent"),
         rules.level(F.col("flow_rate"), 60.0, None, below=True).alias("flow_level"),
         rules.level(F.col("motor_temperature"), 90.0, 120.0).alias("temperature_level"),
-        rules.level(F.col("motor_current"), None, 75.0).alias("current_level"),
-        rules.level(F.col("vibration"), None, 12.0).alias("vibration_level"),
+        share("motor_current", 90.0).alias("current_percent"),
+        share("vibration", 15.0).alias("vibration_percent"),
+        rules.level(F.col("motor_current"), None, 75.0, reach=False).alias("current_level"),
+        rules.level(F.col("vibration"), None, 12.0, reach=False).alias("vibration_level"),
         steady((F.col("flow_rate") / 105.0 - 1) * 100).alias("flow_delta_percent"),
         steady(F.col("motor_temperature") - 78.0).alias("temperature_delta"),
     )
@@ -278,9 +290,11 @@ def drain_missing(spark, folder):
 
 @query
 def restore_diff(spark, folder):
-    """What a copy of the listing without its repeated rows lacks."""
+    """What a damaged copy of the listing lacks and has too much: it has no rows whose size is a multiple of 7, and others of multiples of 11 twice."""
     i = table(spark, folder, "source_inventory")
-    return reconcile.differences(i, i.distinct()).select("side", "n", "source_uri", "source_kind")
+    size = F.col("size_bytes")
+    left = i.where(size.isNull() | (size % 7 != 0))
+    return reconcile.differences(i, left.unionByName(left.where(size % 11 == 0))).select("side", "n", "source_uri", "source_kind", "size_bytes")
 
 
 @query
@@ -306,7 +320,9 @@ def inventory_join(spark, folder):
 @query
 def key_lookup(spark, folder):
     """The latest states of three given pumps, in the given order."""
-    return archive.lookup(_latest(spark, folder), "esp_id", ["ESP-101", "ESP-102", "ESP-103"]).select("esp_id", "status", "flow_rate")
+    found = archive.lookup(_latest(spark, folder), "esp_id", ["ESP-103", "ESP-101", "ESP-102"]).select("esp_id", "status", "flow_rate")
+    # three rows: numbered in the order in which they come
+    return found.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.monotonically_increasing_id())))
 
 
 @query
@@ -318,10 +334,11 @@ def archive_paths(spark, folder):
 
 @query
 def freshness_state(spark, folder):
+    """State of every pump's latest reading by its age, should the next load fail."""
     s = _latest(spark, folder, _arrived).select("esp_id", "arrived")
     newest = F.max("arrived").over(Window.partitionBy(F.lit(1)))  # one row per pump
     age = ((newest - F.col("arrived")) / 1e6).alias("age")
-    return s.select("esp_id", age).select("esp_id", reconcile.freshness(F.col("age"), F.lit(True), 10.0, 45.0).alias("state"))
+    return s.select("esp_id", age).select("esp_id", reconcile.freshness(F.col("age"), F.lit(False), 10.0, 45.0).alias("state"))
 
 
 @query
@@ -357,11 +374,11 @@ def generated_events(spark, folder):
 
 @query
 def cache_ratio(spark, folder):
-    """Share of listed objects that hold telemetry, in whole percent (0 for an empty listing)."""
+    """Share of listed objects that hold telemetry, rounded to whole percent (0 for an empty listing)."""
     i = table(spark, folder, "source_inventory").select("source_uri").distinct()
     t = table(spark, folder, "telemetry").select("source_uri", F.lit(1).alias("hit")).distinct()
     r = i.join(t, "source_uri", "left").agg(F.count("hit").alias("hits"), F.count("*").alias("total"))
-    return r.select("hits", "total", F.coalesce(F.floor(F.try_divide(F.col("hits") * 100, F.col("total"))), F.lit(0)).cast("long").alias("percent"))
+    return r.select("hits", "total", F.coalesce(F.floor(F.try_divide(F.col("hits") * 100, F.col("total")) + 0.5), F.lit(0)).cast("long").alias("percent"))
 
 
 def _usable_stream(spark, folder):

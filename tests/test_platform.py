@@ -196,4 +196,9 @@ def test_gauges_and_severities(spark):
     df = spark.createDataFrame([(["SHUTDOWN"],), (["A"],), (["A", "B"],), ([],)], "r array<string>")
     assert [r[0] for r in df.select(rules.severity(F.col("r"))).collect()] == ["critical", "warning", "critical", "normal"]
     df = spark.createDataFrame([(1.0, True), (1.0, False), (50.0, True), (None, True)], "a double, ok boolean")
-    assert [r[0] for r in df.select(reconcile.freshness(F.col("a"), F.col("ok"))).collect()] == ["fresh", "stale", "unavailable", "unavailable"]
+    assert [r[0] for r in df.select(reconcile.freshness(F.col("a"), F.col("ok"))).collect()] == ["fresh"] * 4
+    df = spark.createDataFrame([(9.9,), (10.0,), (44.9,), (45.0,), (None,)], "a double")
+    assert [r[0] for r in df.select(reconcile.freshness(F.col("a"), F.lit(False))).collect()] == ["fresh", "stale", "stale", "unavailable", "unavailable"]
+    df = spark.createDataFrame([(74.9,), (75.0,), (75.1,)], "v double")
+    level = lambda **how: [r[0] for r in df.select(rules.level(F.col("v"), None, 75.0, **how)).collect()]
+    assert level() == ["normal", "critical", "critical"] and level(reach=False) == ["normal", "normal", "critical"]
