@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from derrickflow.functions import contract
 
 
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """Acknowledged events of a producer's JSON-lines ledger: event_id and run_id. Blank lines count for nothing; a broken line raises, as a ledger must be whole."""
+    return spark.read.schema("event_id string, run_id string").option("mode", "FAILFAST").json(path)
+
+
 def missing(ledger: DataFrame, landed: DataFrame, quarantined: DataFrame, key: str = "id") -> DataFrame:
     """Acknowledged rows of which neither the landed nor the quarantined ones hold the key (null keys are missing)."""
     return ledger.join(landed.select(key), key, "left_anti").join(quarantined.select(key), key, "left_anti")

@@ -175,6 +175,17 @@ def kpi_top250(spark, folder):
     return t.select(F.col("event_date").cast("string").alias("event_date"), "esp_id", "samples", "peak_vibration_mm_s", steady(F.col("relative_flow_deficit")).alias("relative_flow_deficit"))
 
 
+@query
+def published_kpi(spark, folder):
+    """Key figures of one day of the approved run of a publication, read by its pointer (rows of conflicting identities, which no run may have, are left out before)."""
+    root = scratch(spark, "published")
+    m = publish.manifest("all", "2024-01-01", "2024-01-02", 1, [{"uri": f"{folder}/telemetry.parquet", "source_kind": "realtime_json", "sha256": "", "size_bytes": 0}])
+    d = _disposed(spark, folder).where(F.col("disposition") != pub.CONFLICTING)
+    publish.publish(d, pub.dimension(table(spark, folder, "pump_metadata")), root, "run", m, ("realtime_json",))
+    k = publish.published_kpis(spark, root, "2024-01-01", "2024-01-01")
+    return k.withColumn("event_date", F.col("event_date").cast("string"))
+
+
 @query
 def source_kind_counts(spark, folder):
     return _silver(spark, folder).groupBy("source_kind").agg(F.count("*").alias("n"))
@@ -280,9 +291,11 @@ def deterministic_ids(spark, folder):
 
 @query
 def drain_missing(spark, folder):
-    """Acknowledged realtime events whose object isn't listed and which no quarantine holds."""
+    """Acknowledged realtime events, read from a JSON-lines ledger, whose object isn't listed and which no quarantine holds."""
     v = _validated(spark, folder)
-    ledger = v.where("source = 'realtime' and id is not null").select("id").distinct()
+    to = scratch(spark, "ledger")
+    v.where("source = 'realtime' and id is not null").select("event_id", "run_id").write.json(to)
+    ledger = reconcile.read_ledger(spark, to).select(identity(F.col("event_id")).alias("id")).distinct()
     landed = v.where("id is not null").join(table(spark, folder, "source_inventory").select("source_uri").distinct(), "source_uri", "left_semi")
     held = table(spark, folder, "quarantine").withColumn("id", identity(F.col("event_id"))).where("id is not null")
     return reconcile.missing(ledger, landed, held).select(spelled(F.col("id")).alias("event_id"))

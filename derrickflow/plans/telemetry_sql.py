@@ -138,3 +138,4 @@ SELECT t.source_kind, k.source_uri IS NOT NULL AS listed, coalesce(hashed, false
 h AS (SELECT *, sum(new) OVER (PARTITION BY esp_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT esp_id, {_ISO('min(ts)')} AS session_start, count(*)::BIGINT AS n FROM h GROUP BY esp_id, k""",
     "cache_ratio": "WITH i AS (SELECT DISTINCT source_uri FROM source_inventory), c AS (SELECT count(*) FILTER (source_uri IN (SELECT source_uri FROM telemetry)) AS hits, count(*) AS total FROM i) SELECT hits::BIGINT AS hits, total::BIGINT AS total, coalesce(floor(hits * 100 / nullif(total, 0) + 0.5), 0)::BIGINT AS percent FROM c",
 }
+SQL["published_kpi"] = SQL["daily_kpi"].replace(" FROM s GROUP BY", " FROM s WHERE event_date = DATE '2024-01-01' GROUP BY")

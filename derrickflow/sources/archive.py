@@ -59,30 +59,50 @@ def _hash(uri: str, to: str | None = None) -> tuple[int, str]:
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
-    """Relative path, size and SHA-256 of all files under root, hashed in parallel."""
-    return _each(spark, _names(root), lambda path: _hash(f"{root}/{path}"))
+    """Relative path, size and SHA-256 of all files under root, hashed in parallel. Names are listed by tasks too."""
+    return _each(_names(spark, root), lambda path: _hash(f"{root}/{path}"))
 
 
-def _names(root: str) -> list[str]:
+def hashed(uris: DataFrame) -> DataFrame:
+    """Size and SHA-256 of the files that a table's path column names: path, size_bytes, sha256; a file that isn't there has no row."""
+
+    def work(uri):
+        fs, path = resolve(uri)
+        return _hash(uri) if fs.get_file_info(path).type == pafs.FileType.File else (None, None)
+
+    return _each(uris.select("path"), work).where("sha256 is not null")
+
+
+def _names(spark: SparkSession, root: str) -> DataFrame:
+    """Relative paths of the files under root, as a table: it is never gathered on the driver. Hidden files are left out."""
     fs, base = resolve(root)
-    found = fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True))
-    return sorted(f.path[len(base) + 1 :] for f in found if f.type == pafs.FileType.File and not f.base_name.startswith((".", "_")))
+    if fs.get_file_info(base).type != pafs.FileType.Directory:
+        return spark.createDataFrame([], "path string")
+    top = [(f.path, f.type == pafs.FileType.Directory) for f in fs.get_file_info(pafs.FileSelector(base)) if not f.base_name.startswith((".", "_"))]
+
+    def walk(batches):
+        for b in batches:
+            for path, folder in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                inner, _ = resolve(root)
+                found = [path] if not folder else [f.path for f in inner.get_file_info(pafs.FileSelector(path, recursive=True)) if f.type == pafs.FileType.File and not f.base_name.startswith((".", "_"))]
+                yield pa.record_batch([pa.array([safe(p[len(base) + 1 :]) for p in found], pa.string())], ["path"])
+
+    return spark.createDataFrame(top, "path string, folder boolean").repartition(4 * spark.sparkContext.defaultParallelism).mapInArrow(walk, "path string")
 
 
-def _each(spark: SparkSession, names: list[str], work) -> DataFrame:
+def _each(paths: DataFrame, work) -> DataFrame:
     def run(batches):
         for b in batches:
             names_ = b.column(0).to_pylist()
             got = [work(n) for n in names_]
-            yield pa.record_batch([pa.array(names_), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.string())], ["path", "size_bytes", "sha256"])
+            yield pa.record_batch([pa.array(names_, pa.string()), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.string())], ["path", "size_bytes", "sha256"])
 
-    tasks = max(1, min(len(names), 4 * spark.sparkContext.defaultParallelism))
-    return spark.createDataFrame([(safe(n),) for n in names], "path string").repartition(tasks).mapInArrow(run, LISTED)
+    return paths.repartition(4 * paths.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, LISTED)
 
 
 def export(spark: SparkSession, root: str, to: str) -> DataFrame:
     """Copy all files under root to a new folder; the manifest of what was copied is written beside them, in _manifest."""
-    done = _each(spark, _names(root), lambda path: _hash(f"{root}/{path}", f"{to}/files/{path}"))
+    done = _each(_names(spark, root), lambda path: _hash(f"{root}/{path}", f"{to}/files/{path}"))
     done.write.mode("errorifexists").parquet(f"{to}/_manifest")
     return spark.read.parquet(f"{to}/_manifest")
 
@@ -93,4 +113,4 @@ def restore(spark: SparkSession, exported: str, to: str) -> DataFrame:
     bad = listing(spark, f"{exported}/files").join(manifest, ["path", "size_bytes", "sha256"], "left_anti").unionByName(manifest.join(listing(spark, f"{exported}/files"), ["path", "size_bytes", "sha256"], "left_anti"))
     if first := bad.select("path").head(1):
         raise ValueError(f"the export differs from its manifest, as in {first[0].path}")
-    return _each(spark, _names(f"{exported}/files"), lambda path: _hash(f"{exported}/files/{path}", f"{to}/{path}"))
+    return _each(_names(spark, f"{exported}/files"), lambda path: _hash(f"{exported}/files/{path}", f"{to}/{path}"))
