@@ -179,8 +179,8 @@ def _typed(batch: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def typed_lines(lines: DataFrame) -> DataFrame:
-    """Every line that is no CSV header, typed: TYPED's columns, and ts (microseconds, null for no zoned ISO-8601 time).
+def typed_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every line that is no CSV header, typed: TYPED's columns, and ts (microseconds, null for no zoned ISO-8601 time); and the line itself, if keep has "payload".
 
     lines: source_uri, source_kind, line_no, payload, ingested_at, other columns are ignored. A line of
     historical_csv numbered 1 is its object's header (the least payload, if delivered more than once);
@@ -194,9 +194,12 @@ def typed_lines(lines: DataFrame) -> DataFrame:
 
     def typed(batches):
         for b in batches:
-            yield _typed(b)
+            t = _typed(b)
+            for c in keep:
+                t[c] = b[c].to_numpy()
+            yield t
 
-    return body.mapInPandas(typed, TYPED).withColumn("ts", micros(F.col("timestamp")))
+    return body.mapInPandas(typed, ", ".join([TYPED, *(f"{c} string" for c in keep)])).withColumn("ts", micros(F.col("timestamp")))
 
 
 def parse_lines(lines: DataFrame, pumps: DataFrame) -> DataFrame:

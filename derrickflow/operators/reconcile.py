@@ -29,10 +29,14 @@ def differences(original: DataFrame, copy: DataFrame) -> DataFrame:
     return d.select(F.when(F.col("_w") > 0, "lost").otherwise("extra").alias("side"), F.abs("_w").alias("n"), *cols)
 
 
+def would() -> Column:
+    """What a replay of a judged row would do."""
+    return F.when(F.col("rule_id") == contract.OK, "would_process").otherwise("would_quarantine").alias("outcome")
+
+
 def dry_run(validated: DataFrame) -> DataFrame:
     """What a replay of validated rows would do, without doing it: rows per outcome."""
-    would = F.when(F.col("rule_id") == contract.OK, "would_process").otherwise("would_quarantine")
-    return validated.groupBy(would.alias("outcome")).agg(F.count("*").alias("n"))
+    return validated.groupBy(would()).agg(F.count("*").alias("n"))
 
 
 def freshness(age_seconds: Column, loaded: Column, ttl: float = 10.0, limit: float = 45.0) -> Column:

@@ -9,7 +9,7 @@ from derrickflow.functions import contract, rules, windows
 from derrickflow.functions.ids import identity, spelled
 from derrickflow.functions.times import iso_micros, micros_ntz
 from derrickflow.functions.uuids import ALERTS, EVENTS, uuid5
-from derrickflow.operators import alerts, reconcile, state
+from derrickflow.operators import alerts, parse, reconcile, state
 from derrickflow.operators import publication as pub
 from derrickflow.plans import publish
 from derrickflow.session import materialise, scratch
@@ -394,9 +394,15 @@ def cache_ratio(spark, folder):
     return r.select("hits", "total", F.coalesce(F.floor(F.try_divide(F.col("hits") * 100, F.col("total")) + 0.5), F.lit(0)).cast("long").alias("percent"))
 
 
+def _streamed(spark, df, arrived="ingested_at"):
+    """df as a stream in order of arrival, in several batches."""
+    to = scratch(spark, "staged")
+    return lanes.read_stream(spark, to, df.schema, lanes.staged(df, to, arrived))
+
+
 def _usable_stream(spark, folder):
-    t = table(spark, folder, "telemetry")
-    return usable(lanes.read_stream(spark, f"{folder}/telemetry.parquet", t.schema), registered(spark, folder))
+    t = table(spark, folder, "telemetry").select("source", "esp_id", "event_id", "timestamp", "ingested_at", "flow_rate", "status")
+    return usable(_streamed(spark, t), registered(spark, folder))
 
 
 @query
@@ -411,10 +417,31 @@ def stream_latest_state(spark, folder):
     return s.select("esp_id", iso_micros(F.col("ts")).alias("timestamp"), "status")
 
 
+@query
+def stream_routed(spark, folder):
+    """Outcomes of realtime records, each delivered as a JSON line and routed in order of arrival."""
+    t = table(spark, folder, "telemetry").where("source_kind = 'realtime_json'")
+    lines = t.select("source_uri", F.lit(0).alias("line_no"), F.to_json(F.struct(*contract.FIELDS)).alias("payload"), "ingested_at")
+    r = lanes.routed(spark, _streamed(spark, lines), registered(spark, folder), scratch(spark, "stream"))
+    return r.outcomes().groupBy("rule_id", "outcome").agg(F.count("*").alias("n"))
+
+
+@query
+def replay_failed(spark, folder):
+    """Replay of the records that failure notices name: of every raw realtime object, as a shard, the lines 2 to 5; by outcome and rule, first as a dry run, then routed."""
+    log = table(spark, folder, "raw_lines").where("source_kind = 'realtime_json'").withColumnsRenamed({"source_uri": "shard", "line_no": "sequence"})
+    notices = log.select("shard").distinct().select("shard", F.lit(2).alias("first"), F.lit(5).alias("last"))
+    lines = lanes.failed_range(log, notices).withColumnsRenamed({"shard": "source_uri", "sequence": "line_no"})
+    dry = parse.parse_lines(lines, registered(spark, folder)).groupBy(F.lit("dry run").alias("mode"), reconcile.would(), "rule_id").agg(F.count("*").alias("n"))
+    r = lanes.Router(spark, registered(spark, folder), scratch(spark, "replay"))
+    r.each(lines, 0)
+    return dry.unionByName(r.outcomes().groupBy(F.lit("execute").alias("mode"), "outcome", "rule_id").agg(F.count("*").alias("n")))
+
+
 @query
 def stream_alerts(spark, folder):
-    to = scratch(spark, "stream")
-    r = _usable_stream(spark, folder).withColumn("event_id", spelled(F.col("id")))
-    q = lanes.alerts(r).writeStream.format("parquet").option("path", f"{to}/out").option("checkpointLocation", f"{to}/checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.schema(lanes.DECISION).parquet(f"{to}/out").groupBy("rule_id", "kind").agg(F.count("*").alias("n"))
+    """Alerts of a stream of canonical events in order of time, in several batches."""
+    s = _silver(spark, folder).where("source = 'realtime'").withColumn("ts", F.unix_micros("event_ts"))
+    some = s.select("esp_id", "ts", "event_ts", "event_id", "status", "scenario", "flow_rate", "motor_temperature", "vibration", "motor_current", "tubing_pressure")
+    a = lanes.send_alerts(spark, _streamed(spark, some, "event_ts"), scratch(spark, "stream"))
+    return a.select("kind", "alert_id", "episode_id", "esp_id", "rule_id", "finding", iso_micros(F.col("ts")).alias("timestamp"), "event_id")

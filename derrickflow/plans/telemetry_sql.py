@@ -139,3 +139,17 @@ h AS (SELECT *, sum(new) OVER (PARTITION BY esp_id ORDER BY ts ROWS UNBOUNDED PR
     "cache_ratio": "WITH i AS (SELECT DISTINCT source_uri FROM source_inventory), c AS (SELECT count(*) FILTER (source_uri IN (SELECT source_uri FROM telemetry)) AS hits, count(*) AS total FROM i) SELECT hits::BIGINT AS hits, total::BIGINT AS total, coalesce(floor(hits * 100 / nullif(total, 0) + 0.5), 0)::BIGINT AS percent FROM c",
 }
 SQL["published_kpi"] = SQL["daily_kpi"].replace(" FROM s GROUP BY", " FROM s WHERE event_date = DATE '2024-01-01' GROUP BY")
+SQL["stream_alerts"] = SQL["alert_episodes"]
+SQL["stream_routed"] = f"""WITH {_V}, rt AS (SELECT *, rule_id = 'OK' AS ok FROM v WHERE source_kind = 'realtime_json'),
+o AS (SELECT rule_id, CASE WHEN NOT ok THEN 'quarantined' WHEN coalesce(ts > max(ts) OVER (PARTITION BY esp_id, ok ORDER BY ingested_at NULLS LAST, source_uri, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) THEN 'processed' ELSE 'superseded' END AS outcome FROM rt)
+SELECT rule_id, outcome, count(*)::BIGINT AS n FROM o GROUP BY 1, 2"""
+_USABLE = f"""r AS (SELECT {_ID} AS id, esp_id, {_TS} AS ts, ingested_at AS arrived, status FROM telemetry
+  WHERE source = 'realtime' AND esp_id IN (SELECT esp_id FROM pump_metadata) AND trim(coalesce(event_id, '')) <> '' AND "timestamp" IS NOT NULL)"""
+SQL["stream_latest_state"] = f"""WITH {_USABLE}, l AS (SELECT *, row_number() OVER (PARTITION BY esp_id ORDER BY ts DESC, arrived NULLS LAST, id DESC) AS k FROM r)
+SELECT esp_id, {_ISO('ts')} AS "timestamp", status FROM l WHERE k = 1"""
+SQL["stream_hourly"] = f"""WITH {_USABLE}, e AS (SELECT id, esp_id, date_trunc('hour', ts) AS h, min(arrived) AS a FROM r WHERE arrived IS NOT NULL GROUP BY 1, 2, 3)
+SELECT esp_id, strftime(h, '%Y-%m-%dT%H:%M:%SZ') AS hour_start, count(*)::BIGINT AS n FROM e WHERE a <= h + INTERVAL 7 HOUR GROUP BY esp_id, h"""
+_SCENARIOS = ", ".join(f"'{x}'" for x in ("normal", "gas_slug", "low_flow", "mechanical", "blockage", "sensor_fault", "shutdown"))
+SQL["generated_events"] = f"""WITH e AS (SELECT scenario, 'ESP-' || (101 + i % 3) AS esp_id FROM (SELECT unnest([{_SCENARIOS}]) AS scenario) AS s, range(600) AS t(i))
+SELECT scenario, CASE WHEN esp_id NOT IN (SELECT esp_id FROM pump_metadata WHERE esp_id IS NOT NULL) THEN 'UNKNOWN_ESP_ID' ELSE 'OK' END AS rule_id,
+  count(*)::BIGINT AS n FROM e GROUP BY 1, 2"""

@@ -21,10 +21,10 @@ def archive_path(esp_id: Column, ts: Column, event_id: Column) -> Column:
     return F.concat(F.lit("raw/realtime/"), esp_id, F.lit("/"), hour, F.lit("/"), event_id, F.lit(".json"))
 
 
-def envelopes(rejected: DataFrame, raw: Column, received_at: Column) -> DataFrame:
-    """Rejected rows as JSON envelopes that keep the raw bytes: rule_id, json (rule, reason, time of receipt, payload in base64)."""
+def envelopes(rejected: DataFrame, raw: Column, received_at: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rejected rows as JSON envelopes that keep the raw bytes: rule_id, json (rule, reason, time of receipt, payload in base64), after the columns to keep."""
     whole = F.struct("rule_id", "reason", received_at.cast("string").alias("received_at"), F.base64(F.encode(raw, "UTF-8")).alias("raw_base64"))
-    return rejected.select("rule_id", F.to_json(whole, {"ignoreNullFields": "false"}).alias("json"))
+    return rejected.select(*keep, "rule_id", F.to_json(whole, {"ignoreNullFields": "false"}).alias("json"))
 
 
 def lookup(rows: DataFrame, key: str, wanted: list[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from derrickflow.functions import contract
-from derrickflow.functions.times import iso_micros
+from derrickflow.functions.times import HOUR, iso_micros
 from derrickflow.functions.uuids import EVENTS, uuid5
 from derrickflow.operators import parse
 from derrickflow.sources.files import resolve
@@ -116,33 +116,41 @@ def select_objects(listing: DataFrame, start: str, end: str, lookback_days: int
     return some.where("source_uri is not null").groupBy("source_uri").agg(best).select("source_uri", *[f"o.{c}" for c in rest])
 
 
-#: Scenario names of generated events.
-SCENARIOS = ("normal", "gas_slug", "low_flow", "mechanical", "blockage", "sensor_fault", "shutdown")
-
-
-def generate(spark: SparkSession, pumps: int, ticks: int, scenario: str = "normal", start_us: int = 1_704_067_200_000_000, step_us: int = 1_000_000, run: str = "generated", seed: int = 1) -> DataFrame:
-    """Deterministic events of v1: a row per pump and tick, the same on every run with the same arguments."""
+#: Signals of generated events (mean and spread), and what a scenario has instead. "tick" is the number of the event of its pump.
+LEVELS = {
+    "flow_rate": (120.0, 4.0), "intake_pressure": (700.0, 8.0), "discharge_pressure": (1600.0, 15.0), "motor_temperature": (92.0, 2.0), "vibration": (2.5, 0.3),
+    "motor_current": (68.0, 2.0), "tubing_pressure": (700.0, 10.0), "casing_pressure": (500.0, 10.0), "pump_frequency": (60.0, 0.0), "intake_temperature": (78.0, 0.0), "water_cut": (0.4, 0.02),
+}
+SCENARIOS = {
+    "normal": {},
+    "gas_slug": {"flow_rate": ("120 + 35 * sin(tick / 5)", 4.0), "intake_pressure": ("700 - 21 * sin(tick / 5)", 8.0), "motor_current": ("68 + 5.25 * abs(sin(tick / 5))", 2.0)},
+    "low_flow": {"flow_rate": (42.0, 3.0), "motor_temperature": (137.0, 3.0), "motor_current": (82.0, 2.0), "discharge_pressure": (1510.0, 0.0)},
+    "mechanical": {"vibration": ("least(16, 3 + tick * 0.08)", 0.5), "motor_current": ("72 + tick * 0.06", 0.0), "discharge_pressure": ("1600 - least(220, tick * 1.5)", 15.0)},
+    "blockage": {"tubing_pressure": (1000.0, 20.0), "flow_rate": (42.0, 3.0), "discharge_pressure": (1630.0, 0.0), "motor_current": (84.0, 0.0), "motor_temperature": (125.0, 0.0)},
+    "sensor_fault": {"motor_temperature": (91.0, 0.0)},
+    "shutdown": {"flow_rate": (0.0, 0.0), "motor_current": (0.0, 0.0), "pump_frequency": (0.0, 0.0), "vibration": (0.0, 0.0), "motor_temperature": (75.0, 0.0)},
+}
+
+
+def generate(spark: SparkSession, pumps: int, ticks: int, scenario: str = "normal", start_us: int = 1_704_067_200_000_000, step_us: int = 1_000_000, run: str = "generated", seed: int = 1, source: str = "realtime") -> DataFrame:
+    """Deterministic events of v1: a row per pump and tick, the same on every run with the same arguments. Noise is even within a signal's spread."""
     if scenario not in SCENARIOS:
-        raise ValueError(f"scenario is one of {SCENARIOS}")
+        raise ValueError(f"scenario is one of {tuple(SCENARIOS)}")
     d = spark.range(pumps * ticks).select((F.col("id") % pumps).cast("int").alias("p"), F.floor(F.col("id") / pumps).alias("tick"))
-    noise = lambda k: F.pmod(F.xxhash64("p", "tick", F.lit(seed), F.lit(k)), F.lit(2001)) / 1000.0 - 1.0
-    shape = {
-        "normal": (105.0, 78.0, 38.0, 2.1, 700.0),
-        "gas_slug": (F.sin(F.col("tick") / 5) * 35 + 95, 80.0, 40.0, 3.0, 700.0),
-        "low_flow": (45.0, 125.0, 42.0, 2.6, 700.0),
-        "mechanical": (100.0, 82.0, 80.0, F.least(F.lit(16.0), F.col("tick") * 0.08 + 3), 700.0),
-        "blockage": (50.0, 90.0, 45.0, 2.5, 950.0),
-        "sensor_fault": (F.when(F.col("tick") % 5 == 0, F.lit(None)).otherwise(105.0), 78.0, 38.0, 2.1, 700.0),
-        "shutdown": (0.0, 60.0, 0.0, 0.1, 500.0),
-    }[scenario]
-    flow, temp, amps, vib, tubing = (x if isinstance(x, Column) else F.lit(x) for x in shape)
-    ts = F.lit(start_us) + F.col("tick") * step_us
+
+    def signal(name: str) -> Column:
+        mean, spread = SCENARIOS[scenario].get(name, LEVELS[name])
+        noise = F.pmod(F.xxhash64("p", "tick", F.lit(seed), F.lit(name)), F.lit(2001)) / 1000.0 - 1.0
+        return (F.expr(mean) if isinstance(mean, str) else F.lit(mean)).cast("double") + noise * spread
+
     esp = F.concat(F.lit("ESP-"), (F.col("p") + 101).cast("string"))
     own = {
-        "schema_version": F.lit(1), "event_id": uuid5(EVENTS, F.concat_ws("|", F.lit(run), esp, F.col("tick").cast("string"))), "timestamp": iso_micros(ts), "esp_id": esp,
-        "source": F.lit("realtime"), "run_id": F.lit(run), "flow_rate": F.greatest(F.lit(0.0), flow + noise(1)), "water_cut": F.lit(0.4) + noise(2) / 50, "intake_pressure": F.lit(700.0) + noise(3) * 5,
-        "discharge_pressure": F.lit(1600.0) + noise(4) * 5, "tubing_pressure": tubing + noise(5) * 5, "casing_pressure": F.lit(500.0), "intake_temperature": F.lit(78.0), "motor_temperature": temp + noise(6),
-        "motor_current": F.greatest(F.lit(0.0), amps + noise(7)), "vibration": F.greatest(F.lit(0.0), vib + noise(8) / 10), "pump_frequency": F.lit(0.0 if scenario == "shutdown" else 60.0),
-        "status": F.lit("SHUTDOWN" if scenario == "shutdown" else "RUNNING"), "scenario": F.lit(scenario),
+        "schema_version": F.lit(1), "event_id": uuid5(EVENTS, F.concat_ws("|", F.lit(run), esp, F.col("tick").cast("string"))), "timestamp": iso_micros(F.lit(start_us) + F.col("tick") * step_us),
+        "esp_id": esp, "source": F.lit(source), "run_id": F.lit(run), "status": F.lit("SHUTDOWN" if scenario == "shutdown" else "RUNNING"), "scenario": F.lit(scenario),
     }
-    return d.select(*[own[f].alias(f) for f in contract.FIELDS])
+    return d.select(*[(own[f] if f in own else signal(f)).alias(f) for f in contract.FIELDS])
+
+
+def seed_history(spark: SparkSession, pumps: int = 3, days: int = 7, end_us: int = 1_704_067_200_000_000, run: str = "seed") -> DataFrame:
+    """Hourly historical events of the days up to end_us."""
+    return generate(spark, pumps, days * 24, start_us=end_us - days * 24 * HOUR, step_us=HOUR, run=run, source="historical")
