@@ -24,10 +24,11 @@ from derrickflow.session import materialise
 KEY = ["esp_id", "rule_id"]
 
 
-def by_rule(events: DataFrame) -> DataFrame:
-    """A row per event and rule with `on`: whether the rule holds."""
-    each = F.array(*[F.struct(F.lit(r).alias("rule_id"), rules.holds(r).alias("on")) for r in rules.RULES])
-    return events.withColumn("_r", F.explode(each)).select("*", "_r.rule_id", "_r.on").drop("_r")
+def rule_hits(events: DataFrame) -> DataFrame:
+    """Per rule the events and those for which it holds: one aggregation, whose only row is then turned into one per rule. No events give no rows."""
+    hits = events.agg(F.count("*").alias("n_events"), *[F.count_if(rules.holds(r)).alias(r) for r in rules.RULES]).where("n_events > 0")
+    each = F.array(*[F.struct(F.lit(r).alias("rule_id"), F.col(r).alias("hits")) for r in rules.RULES])
+    return hits.select("n_events", F.explode(each).alias("r")).select("r.rule_id", "n_events", "r.hits")
 
 
 def decisions(events: DataFrame, cooldown: int = rules.COOLDOWN, width: int = windows.HOUR) -> DataFrame:

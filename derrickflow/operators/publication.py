@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from derrickflow.functions import contract
 from derrickflow.functions.ids import identity, spelled
 from derrickflow.functions.times import iso_micros, micros
-from derrickflow.session import materialise
 
 INVALID, OUT_OF_SCOPE, CONFLICTING, DUPLICATE, SILVER = "INVALID", "OUT_OF_SCOPE", "CONFLICT", "DUPLICATE", "SILVER"
 NUMBERS = contract.REQUIRED_NUMBERS + contract.OPTIONAL_NUMBERS
@@ -71,18 +70,18 @@ def dispositions(rows: DataFrame, start: str | None = None, end: str | None = No
 
     Eligible are valid rows in the window, by default all of them. Of their equal identities with one payload the first source_uri (then ingested_at)
     is SILVER and the others are DUPLICATE; all rows of an identity with several payloads are CONFLICT. Identities are profiled by a partial
-    aggregation and joined back, so that one identity with very many copies burdens no task.
+    aggregation, and those that occur more than once are joined back, so that one identity with very many copies burdens no task. Nothing is written.
     """
-    scoped = in_window(start, end, lookback_days)
-    # three branches read the verdicts: they are written once, as filters would have the whole chain evaluated again in each
-    r = materialise(rows.withColumns({"_elig": (F.col("rule_id") == contract.OK) & scoped, "_print": fingerprint()}), "verdicts")
-    rest = r.where(~F.col("_elig")).withColumn("disposition", F.when(F.col("rule_id") != contract.OK, INVALID).otherwise(OUT_OF_SCOPE))
-    e = r.where("_elig")
-    profile = identity_profile(e)
-    j = e.join(profile.select("id", "n_payloads", F.col("first").alias("_first")), "id")
+    elig = (F.col("rule_id") == contract.OK) & in_window(start, end, lookback_days)
+    r = rows.withColumns({"_elig": F.coalesce(elig, F.lit(False)), "_print": fingerprint()})
+    profile = identity_profile(r.where("_elig")).where("n > 1").select(F.col("id").alias("_key"), "n_payloads", F.col("first").alias("_first"))
+    # rows that aren't eligible get a key of their own that no identity has, so that they are spread
+    key = F.when(F.col("_elig"), F.col("id")).otherwise(F.unhex(F.lpad(F.hex("_place"), 16, "0")))
+    j = r.withColumn("_key", key).join(profile, "_key", "left")
     won = F.coalesce(F.col("source_uri").eqNullSafe(F.col("_first.source_uri")) & F.col("ingested_at").eqNullSafe(F.col("_first.ingested_at")) & (F.col("_place") == F.col("_first._place")), F.lit(False))
-    j = j.withColumn("disposition", F.when(F.col("n_payloads") > 1, CONFLICTING).when(won, SILVER).otherwise(DUPLICATE))
-    return j.drop("n_payloads", "_first", "_place", "_elig", "_print").unionByName(rest.drop("_elig", "_place", "_print"))
+    what = F.when(F.col("rule_id") != contract.OK, INVALID).when(~F.col("_elig"), OUT_OF_SCOPE).when(F.col("n_payloads") > 1, CONFLICTING)
+    what = what.when(F.col("n_payloads").isNull() | won, SILVER).otherwise(DUPLICATE)
+    return j.withColumn("disposition", what).drop("_key", "n_payloads", "_first", "_place", "_elig", "_print")
 
 
 def identity_profile(eligible: DataFrame) -> DataFrame:
@@ -160,17 +159,23 @@ def daily_kpis(silver_: DataFrame) -> DataFrame:
 
 
 def quality(silver_: DataFrame) -> DataFrame:
-    """One row of quality figures of published rows."""
-    bad = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0))
-    return silver_.agg(
-        F.count("*").alias("rows_seen"),
-        F.countDistinct("event_id").alias("distinct_event_ids"),
-        F.countDistinct("esp_id").alias("pumps"),
-        bad(F.col("event_ts").isNull()).alias("invalid_timestamps"),
-        bad(F.col("water_cut").isNull() | ~F.col("water_cut").between(0, 1)).alias("invalid_water_cut"),
-        bad(F.col("flow_rate").isNull() | (F.col("flow_rate") < 0)).alias("invalid_flow"),
-        bad(F.col("metadata_version").isNull()).alias("missing_metadata"),
-        F.countDistinct("source_kind").alias("source_kinds"),
+    """One row of quality figures of published rows. Identifiers are counted by one grouping; pumps and kinds are few and gathered as sets."""
+    bad = {
+        "invalid_timestamps": F.col("event_ts").isNull(),
+        "invalid_water_cut": F.col("water_cut").isNull() | ~F.col("water_cut").between(0, 1),
+        "invalid_flow": F.col("flow_rate").isNull() | (F.col("flow_rate") < 0),
+        "missing_metadata": F.col("metadata_version").isNull(),
+    }
+    each = silver_.groupBy("event_id").agg(
+        F.count("*").alias("n"), *[F.count_if(c).alias(k) for k, c in bad.items()], F.collect_set("esp_id").alias("pumps"), F.collect_set("source_kind").alias("kinds")
+    )
+    distinct = lambda c: F.size(F.array_distinct(F.flatten(F.collect_set(c)))).cast("long")
+    return each.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_seen"),
+        F.count("event_id").alias("distinct_event_ids"),
+        distinct("pumps").alias("pumps"),
+        *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in bad],
+        distinct("kinds").alias("source_kinds"),
     )
 
 

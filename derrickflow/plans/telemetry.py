@@ -262,7 +262,7 @@ def gauge_levels(spark, folder):
 @query
 def alert_rule_hits(spark, folder):
     s = _silver(spark, folder).where("source = 'realtime'")
-    return alerts.by_rule(s).groupBy("rule_id").agg(F.count("*").alias("n_events"), F.count_if(F.col("on")).alias("hits"))
+    return alerts.rule_hits(s)
 
 
 @query
