@@ -20,26 +20,24 @@ def micros(text: Column) -> Column:
     return F.when(text.rlike(ZONED), F.unix_micros(F.try_to_timestamp(full))).when(text.rlike(_DATE + _TIME + _ZONE), _other(text))
 
 
-def _clock(digits: Column) -> Column:
-    """Microseconds of hhmmss with an optional fraction, the later parts of which may lack; null if a part is out of range."""
-    whole = F.rpad(F.regexp_extract(digits, r"^\d+", 0), 6, "0")
-    h, m, s = (F.substring(whole, at, 2).cast("long") for at in (1, 3, 5))
-    part = F.rpad(F.regexp_extract(digits, r"\.(\d+)$", 1), 6, "0").cast("long")
-    return F.when((h < 24) & (m < 60) & (s < 60), ((h * 60 + m) * 60 + s) * 1_000_000 + part)
+def _stamp(day: Column, clock: Column) -> Column:
+    """Microseconds of yyyyMMdd and hhmmss with an optional fraction, the later parts of which may lack."""
+    whole = F.rpad(F.regexp_extract(clock, r"^\d+", 0), 6, "0")
+    return F.unix_micros(F.try_to_timestamp(F.concat(day, whole, F.lit("."), F.rpad(F.regexp_extract(clock, r"\.(\d{1,6})", 1), 6, "0")), F.lit("yyyyMMddHHmmss.SSSSSS")))
 
 
 def _other(text: Column) -> Column:
-    get = lambda k: F.regexp_extract(text, _DATE + _TIME + _ZONE, k)
-    bare = F.replace(get(1), F.lit("-"), F.lit(""))
-    plain = F.try_to_date(F.when(~F.contains(bare, F.lit("W")), F.concat_ws("-", F.substring(bare, 1, 4), F.substring(bare, 5, 2), F.substring(bare, 7, 2))))
-    # a week date counts from the Monday of the week of 4 January
-    fourth = F.try_to_date(F.when(F.contains(bare, F.lit("W")), F.concat(F.substring(bare, 1, 4), F.lit("-01-04"))))
-    week, day = F.substring(bare, 6, 2).try_cast("int"), F.coalesce(F.substring(bare, 8, 1).try_cast("int"), F.lit(1))
-    dated = F.date_add(fourth, (week - 1) * 7 + day - 1 - F.weekday(fourth))
-    date = F.coalesce(plain, F.when((F.weekofyear(dated) == week) & day.between(1, 7), dated))
-    clock, zone = (F.replace(F.replace(get(k), F.lit(":"), F.lit("")), F.lit(","), F.lit(".")) for k in (2, 3))
-    offset = F.when(zone == "Z", F.lit(0)).otherwise(F.when(F.substring(zone, 1, 1) == "-", -1).otherwise(1) * _clock(F.substring(zone, 2, 99)))
-    return F.unix_date(date).cast("long") * DAY + _clock(clock) - offset
+    # few, small expressions: these go into the generated code of every stage that reads times
+    get = lambda k: F.translate(F.regexp_extract(text, _DATE + _TIME + _ZONE, k), ",:-", ".")
+    # a week date counts from the Monday of the week of 4 January; of a week that a year hasn't, the date is in another one
+    week, day = F.substring(get(1), 6, 2).try_cast("int"), F.coalesce(F.substring(get(1), 8, 1).try_cast("int"), F.lit(1))
+    fourth = F.try_to_date(F.concat(F.substring(get(1), 1, 4), F.lit("-01-04")))
+    monday = F.date_add(F.trunc(fourth, "week"), (week - 1) * 7)
+    of_week = F.when((F.weekofyear(monday) == week) & day.between(1, 7), F.date_format(F.date_add(monday, day - 1), "yyyyMMdd"))
+    date = F.when(F.substring(get(1), 5, 1) == "W", of_week).otherwise(get(1))
+    sign = F.when(F.contains(F.regexp_extract(text, _DATE + _TIME + _ZONE, 3), F.lit("-")), -1).otherwise(1)
+    zone = F.translate(get(3), "+Z", "")
+    return _stamp(date, get(2)) - sign * _stamp(F.lit("19700101"), zone)
 
 
 def micros_ntz(stamp: Column) -> Column:

@@ -130,6 +130,12 @@ def silver_canonical(spark, folder):
     return _silver(spark, folder).select("event_id", "timestamp", "esp_id", "source", "status", "flow_rate", "source_uri", "field", "metadata_version")
 
 
+@query
+def silver_payloads(spark, folder):
+    """Hashes of the canonical JSON of silver rows."""
+    return _silver(spark, folder).select("event_id", "payload_sha256")
+
+
 @query
 def identity_conflicts(spark, folder):
     return pub.conflicts(_disposed(spark, folder)).select("source_uri", "event_id", "rule_id")
@@ -338,6 +344,17 @@ def key_lookup(spark, folder):
     return found.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.monotonically_increasing_id())))
 
 
+@query
+def restored_states(spark, folder):
+    """Latest states, exported as table items with a hashed manifest, and brought back."""
+    root, s = scratch(spark, "items"), _latest(spark, folder).select("esp_id", "ts", "status", "scenario", "flow_rate")
+    archive.write_items(s, f"{root}/state")
+    archive.export(spark, root, f"{root}-export")
+    archive.restore(spark, f"{root}-export", f"{root}-back").collect()
+    back = archive.read_items(spark, f"{root}-back/state", s.schema)
+    return back.select("esp_id", iso_micros(F.col("ts")).alias("timestamp"), "status", "scenario", "flow_rate")
+
+
 @query
 def archive_paths(spark, folder):
     """Raw archive paths of the valid realtime events of known arrival (as its SQL has it; see REPLY_r01.md)."""

@@ -153,3 +153,7 @@ _SCENARIOS = ", ".join(f"'{x}'" for x in ("normal", "gas_slug", "low_flow", "mec
 SQL["generated_events"] = f"""WITH e AS (SELECT scenario, 'ESP-' || (101 + i % 3) AS esp_id FROM (SELECT unnest([{_SCENARIOS}]) AS scenario) AS s, range(600) AS t(i))
 SELECT scenario, CASE WHEN esp_id NOT IN (SELECT esp_id FROM pump_metadata WHERE esp_id IS NOT NULL) THEN 'UNKNOWN_ESP_ID' ELSE 'OK' END AS rule_id,
   count(*)::BIGINT AS n FROM e GROUP BY 1, 2"""
+SQL["restored_states"] = f'WITH {_L} SELECT esp_id, {_ISO("ts")} AS "timestamp", status, scenario, flow_rate FROM l'
+_FIELDS = ("schema_version", "event_id", "timestamp", "esp_id", "source", "run_id", "flow_rate", "water_cut", *_OPT[:5], "motor_temperature", "motor_current", "vibration", "pump_frequency", "status", "scenario")
+_JSON = "json_object(" + ", ".join(f"'{c}', \"{c}\"" for c in _FIELDS) + ")"
+SQL["silver_payloads"] = f"WITH {_D} SELECT event_id, sha256({_JSON}::VARCHAR) AS payload_sha256 FROM s"

@@ -100,6 +100,16 @@ def _each(paths: DataFrame, work) -> DataFrame:
     return paths.repartition(4 * paths.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, LISTED)
 
 
+def write_items(table: DataFrame, to: str) -> None:
+    """Table items as JSON-lines files, nulls kept, which an export takes along like any files."""
+    table.write.mode("errorifexists").option("ignoreNullFields", "false").json(to)
+
+
+def read_items(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The items that write_items wrote; a line that isn't one raises."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
 def export(spark: SparkSession, root: str, to: str) -> DataFrame:
     """Copy all files under root to a new folder; the manifest of what was copied is written beside them, in _manifest."""
     done = _each(_names(spark, root), lambda path: _hash(f"{root}/{path}", f"{to}/files/{path}"))

@@ -133,11 +133,6 @@ def failed_range(log: DataFrame, failures: DataFrame) -> DataFrame:
     return named.drop("first", "last").dropDuplicates(["shard", "sequence"])
 
 
-def once(readings: DataFrame, delay: str = "8 hours") -> DataFrame:
-    """Each identity once, as long as its copies arrive within delay of another (needs `arrived`, microseconds)."""
-    return readings.withColumn("arrived_at", F.timestamp_micros("arrived")).withWatermark("arrived_at", delay).dropDuplicatesWithinWatermark(["id"])
-
-
 def hourly(spark: SparkSession, readings: DataFrame, folder: str) -> DataFrame:
     """Hourly counts of a stream of usable readings by conflict-free counters: esp_id, period, n, total.
 
