@@ -11,8 +11,8 @@ import json
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,40 +59,45 @@ def _csv_number(value: str | None):
     return x if math.isfinite(x) else math.nan
 
 
+#: What is wrong with a line, by number; sound ones have 0.
+WRONG = ("", "line cannot be decoded", "string is not closed", "brackets are not balanced", "event is not a JSON object", "line cannot be decoded")
+
+
+def _next(marks: np.ndarray, at: np.ndarray, none: int) -> np.ndarray:
+    """The first of the ascending marks at or after each position; none where there is none."""
+    return np.append(marks, none)[np.searchsorted(marks, at)]
+
+
 def json_events(texts: list[str]) -> list[tuple[dict | None, str | None, int | None]]:
-    """(event, reason, offset) of each line: exactly one strict JSON object, or why and where (byte) it isn't."""
+    """(event, reason, offset) of each line: exactly one strict JSON object, or why and where (byte) it isn't.
+
+    All lines are examined at once, by their automaton states and bracket depths; what is sound is decoded.
+    """
     data, starts, ends = A.join_records([t.encode("utf-8", "surrogatepass") for t in texts])
     state = A.JSON.states(data)
     outside = state == A.OUTSIDE
-    blank = (data == 32) | (data == 9) | (data == 10) | (data == 13)
+    full = ~((data == 32) | (data == 9) | (data == 10) | (data == 13)) & (data != A.END)
     step = np.where(outside & ((data == ord("{")) | (data == ord("["))), 1, 0) - np.where(outside & ((data == ord("}")) | (data == ord("]"))), 1, 0)
     depth = np.cumsum(step)
     base = np.where(starts > 0, depth[np.maximum(starts - 1, 0)], 0)
-    # at the end of a record: broken or within a string; first broken byte by position
-    broken = np.flatnonzero((state == A.JSON_BROKEN) & (np.r_[np.uint8(0), state[:-1]] != A.JSON_BROKEN))
+    end, size = state[ends], len(data)
+    broke = _next(np.flatnonzero((state == A.JSON_BROKEN) & (np.r_[np.uint8(0), state[:-1]] != A.JSON_BROKEN)), starts, size)
+    first = _next(np.flatnonzero(full), starts, size)
+    shut = _next(np.flatnonzero(full & (depth == np.repeat(base, ends - starts + 1))), starts, size)
+    last = np.flatnonzero(full)
+    last = np.append(last, -1)[np.searchsorted(last, ends) - 1]
+    no_object = (shut >= ends) | (data[np.minimum(first, size - 1)] != ord("{"))
+    wrong = np.select([end == A.JSON_BROKEN, end != A.OUTSIDE, depth[ends] != base, no_object, shut != last], [1, 2, 3, 4, 5], 0)
+    offset = np.choose(wrong, [np.zeros_like(starts), broke - 1 - starts, ends - starts, ends - starts, np.zeros_like(starts), shut + 1 - starts])
     out = []
-    for i, text in enumerate(texts):
-        a, b = starts[i], ends[i]
-        at_end = state[b]
-        if at_end == A.JSON_BROKEN:
-            k = broken[np.searchsorted(broken, a)]
-            out.append((None, "line cannot be decoded", int(k - 1 - a)))
-        elif at_end != A.OUTSIDE:
-            out.append((None, "string is not closed", int(b - a)))
-        elif depth[b] != base[i]:
-            out.append((None, "brackets are not balanced", int(b - a)))
-        else:
-            d = depth[a:b] - base[i]
-            shut = np.flatnonzero((d == 0) & ~blank[a:b])
-            if not len(shut) or data[a + (~blank[a:b]).argmax()] != ord("{"):
-                out.append((None, "event is not a JSON object", 0))
-            elif shut[0] != np.flatnonzero(~blank[a:b])[-1]:
-                out.append((None, "line cannot be decoded", int(shut[0] + 1)))
-            else:
-                try:
-                    out.append((json.loads(text, parse_constant=_refuse), None, None))
-                except (ValueError, RecursionError) as e:
-                    out.append((None, "line cannot be decoded", getattr(e, "pos", 0)))
+    for text, w, at in zip(texts, wrong.tolist(), offset.tolist()):
+        if w:
+            out.append((None, WRONG[w], at))
+            continue
+        try:
+            out.append((json.loads(text, parse_constant=_refuse), None, None))
+        except (ValueError, RecursionError) as e:
+            out.append((None, WRONG[1], getattr(e, "pos", 0)))
     return out
 
 
@@ -132,51 +137,76 @@ def header_names(text: str | None) -> list[str] | None:
     return None if fields is None else [f.strip(STRAY) for f in fields]
 
 
-def _typed(batch: pd.DataFrame) -> pd.DataFrame:
-    rows: list[dict] = [{} for _ in range(len(batch))]
-    texts, kinds = batch["payload"].tolist(), batch["source_kind"].tolist()
-    heads = batch["header"].tolist()
-    for i, t in enumerate(texts):
-        if not isinstance(t, str):
-            rows[i] = {"malformed": "line is null", "offset": 0}
-    as_json = [i for i, t in enumerate(texts) if isinstance(t, str) and kinds[i] != CSV_KIND]
-    as_csv = [i for i, t in enumerate(texts) if isinstance(t, str) and kinds[i] == CSV_KIND]
-    for i, (event, why, at) in zip(as_json, json_events([texts[i] for i in as_json])) if as_json else ():
-        if event is None:
-            rows[i] = {"malformed": why, "offset": at}
+def _version(value):
+    return _number(float(value) if isinstance(value, bool) else value)
+
+
+def _columns(batch: pa.RecordBatch) -> tuple[list[int], dict[str, list]]:
+    """Positions in the batch, and the columns of what was read there: null lines, JSON lines and, header by header, CSV lines."""
+    texts, csv = batch.column("payload").to_pylist(), pc.fill_null(pc.equal(batch.column("source_kind"), CSV_KIND), False).to_pylist()
+    at: list[int] = []
+    out: dict[str, list] = {c: [] for c in ("malformed", "offset", "schema_version", "version_text", *TEXTS, *NUMBERS)}
+
+    def add(where: list[int], **columns) -> None:
+        at.extend(where)
+        for c, values in out.items():
+            values.extend(columns.get(c) or [None] * len(where))
+
+    def bad(found: list[tuple[int, str, int]]) -> None:
+        if found:
+            where, why, offset = map(list, zip(*found))
+            add(where, malformed=why, offset=offset)
+
+    bad([(i, "line is null", 0) for i, t in enumerate(texts) if t is None])
+    some = [i for i, t in enumerate(texts) if t is not None and not csv[i]]
+    read = list(zip(some, json_events([texts[i] for i in some]))) if some else []
+    bad([(i, why, offset) for i, (event, why, offset) in read if event is None])
+    good = [(i, event) for i, (event, _, _) in read if event is not None]
+    events = [e for _, e in good]
+    version = [e.get("schema_version") for e in events]
+    fields = {c: [_text(e.get(c)) for e in events] for c in TEXTS} | {c: [_number(e.get(c)) for e in events] for c in NUMBERS}
+    add([i for i, _ in good], schema_version=[_version(v) for v in version], version_text=[repr(v) for v in version], **fields)
+
+    some = [i for i, t in enumerate(texts) if t is not None and csv[i]]
+    records = csv_records([texts[i].rstrip("\r\n") for i in some]) if some else []
+    heads = batch.column("header").to_pylist()
+    by_head: dict = {}
+    for i, record in zip(some, records):
+        by_head.setdefault(heads[i], []).append((i, record))
+    for head, mine in by_head.items():
+        names = header_names(head)
+        if names is None:
+            bad([(i, "object has no readable header", 0) for i, _ in mine])
             continue
-        row = {c: _text(event.get(c)) for c in TEXTS} | {c: _number(event.get(c)) for c in NUMBERS}
-        v = event.get("schema_version")
-        row["schema_version"] = _number(float(v) if isinstance(v, bool) else v)
-        row["version_text"] = repr(v)
-        rows[i] = row
-    names: dict = {}
-    for i, (fields, why, at) in zip(as_csv, csv_records([texts[i].rstrip("\r\n") for i in as_csv])) if as_csv else ():
-        head = heads[i] if isinstance(heads[i], str) else None
-        if head not in names:
-            names[head] = header_names(head)
-        if names[head] is None:
-            rows[i] = {"malformed": "object has no readable header", "offset": 0}
-        elif fields is None:
-            rows[i] = {"malformed": why, "offset": at}
-        elif len(fields) != len(names[head]):
-            rows[i] = {"malformed": f"record has {len(fields)} columns, its header {len(names[head])}", "offset": 0}
-        else:
-            event = dict(zip(names[head], fields))
-            row = {c: event.get(c) or None for c in TEXTS} | {c: _csv_number(event.get(c)) for c in NUMBERS}
-            v = event.get("schema_version") or None
-            row["schema_version"], row["version_text"] = _csv_number(v), repr(v)
-            rows[i] = row
-    out = pd.DataFrame(rows, columns=["malformed", "offset", "schema_version", "version_text", *TEXTS, *NUMBERS])
-    for c in ("source_uri", "source_kind", "line_no", "ingested_at"):
-        out[c] = batch[c].to_numpy()
-    for c in ("malformed", "version_text", *TEXTS):
-        out[c] = out[c].astype(object).where(out[c].notna(), None)
-    out["offset"] = out["offset"].astype("Int32")
-    for c in ("schema_version", *NUMBERS):
-        # an absent value is null, a present one that is no number NaN; pandas' own floats know no difference
-        out[c] = pd.Series(pa.array([r.get(c) for r in rows], pa.float64()), dtype=pd.ArrowDtype(pa.float64()))
-    return out
+        bad([(i, why, offset) for i, (cells, why, offset) in mine if cells is None])
+        bad([(i, f"record has {len(cells)} columns, its header {len(names)}", 0) for i, (cells, _, _) in mine if cells is not None and len(cells) != len(names)])
+        good = [(i, cells) for i, (cells, _, _) in mine if cells is not None and len(cells) == len(names)]
+        place = {name: k for k, name in enumerate(names)}
+        cell = lambda c: [cells[place[c]] or None for _, cells in good] if c in place else [None] * len(good)  # noqa: B023, E731
+        version = cell("schema_version")
+        fields = {c: cell(c) for c in TEXTS} | {c: [_csv_number(v) for v in cell(c)] for c in NUMBERS}
+        add([i for i, _ in good], schema_version=[_csv_number(v) for v in version], version_text=[repr(v) for v in version], **fields)
+    return at, out
+
+
+def _array(values: list, kind: pa.DataType) -> pa.Array:
+    try:
+        return pa.array(values, kind, from_pandas=False)
+    except UnicodeEncodeError:
+        # JSON can spell half a surrogate pair, which is no text
+        return pa.array([v.encode("utf-8", "replace").decode() if isinstance(v, str) else v for v in values], kind)
+
+
+def _typed(batch: pa.RecordBatch, keep: tuple[str, ...]) -> pa.RecordBatch:
+    at, columns = _columns(batch)
+    back = np.empty(len(at), np.int64)
+    back[np.asarray(at, np.int64)] = np.arange(len(at))
+    kinds = {"offset": pa.int32()} | dict.fromkeys(("schema_version", *NUMBERS), pa.float64())
+    # an absent value is null, a present one that is no number NaN
+    made = {c: _array(v, kinds.get(c, pa.string())).take(pa.array(back)) for c, v in columns.items()}
+    own = {c: batch.column(c) for c in ("source_uri", "source_kind", "line_no", "ingested_at", *keep)}
+    names = [x.split()[0] for x in TYPED.split(", ")] + list(keep)
+    return pa.RecordBatch.from_arrays([made[c] if c in made else own[c] for c in names], names=names)
 
 
 def typed_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -194,12 +224,10 @@ def typed_lines(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     def typed(batches):
         for b in batches:
-            t = _typed(b)
-            for c in keep:
-                t[c] = b[c].to_numpy()
-            yield t
+            if b.num_rows:
+                yield _typed(b, keep)
 
-    return body.mapInPandas(typed, ", ".join([TYPED, *(f"{c} string" for c in keep)])).withColumn("ts", micros(F.col("timestamp")))
+    return body.mapInArrow(typed, ", ".join([TYPED, *(f"{c} string" for c in keep)])).withColumn("ts", micros(F.col("timestamp")))
 
 
 def parse_lines(lines: DataFrame, pumps: DataFrame) -> DataFrame:

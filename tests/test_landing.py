@@ -26,6 +26,12 @@ def test_malformed_lines_break_the_first_rule(spark, tmp_path):
     assert all(r.reason for r in v.collect())
 
 
+def test_half_a_surrogate_pair(spark, tmp_path):
+    (tmp_path / "a.json").write_text(GOOD.replace('"r"', '"\\ud800x"') % "" + "\n" + GOOD % "" + "\n")
+    v = pub.validated(landing.read_json(spark, str(tmp_path)), pumps(spark))
+    assert sorted((r.run_id, r.rule_id) for r in v.collect()) == [("?x", "OK"), ("r", "OK")]
+
+
 def test_each_file_by_its_own_header(spark, tmp_path):
     names = ["schema_version", "event_id", "timestamp", "esp_id", "source", "run_id", "flow_rate", "water_cut", "motor_temperature", "motor_current", "vibration", "status"]
     values = ["1", "x", "2024-01-01T00:00:00Z", "ESP-101", "historical", "r", "100", "0.4", "1", "1", "1", "RUNNING"]
