@@ -17,7 +17,8 @@ HOUR, SLOT, DAY = 3_600_000_000, 300_000_000, 86_400_000_000
 def micros(text: Column) -> Column:
     """Microseconds since 1970 UTC; null for null, unzoned or unreadable text (never an error). Fractions beyond microseconds are cut."""
     full = F.when(F.substring(text, 17, 1) == ":", text).otherwise(F.concat(F.substring(text, 1, 16), F.lit(":00"), F.substring(text, 17, 99)))
-    return F.when(text.rlike(ZONED), F.unix_micros(F.try_to_timestamp(full))).when(text.rlike(_DATE + _TIME + _ZONE), _other(text))
+    # the rarer forms are a lambda, which is no part of the generated code: that stays small enough to be compiled to machine code
+    return F.when(text.rlike(ZONED), F.unix_micros(F.try_to_timestamp(full))).when(text.rlike(_DATE + _TIME + _ZONE), F.transform(F.array(text), _other)[0])
 
 
 def _stamp(day: Column, clock: Column) -> Column:
@@ -27,7 +28,6 @@ def _stamp(day: Column, clock: Column) -> Column:
 
 
 def _other(text: Column) -> Column:
-    # few, small expressions: these go into the generated code of every stage that reads times
     get = lambda k: F.translate(F.regexp_extract(text, _DATE + _TIME + _ZONE, k), ",:-", ".")
     # a week date counts from the Monday of the week of 4 January; of a week that a year hasn't, the date is in another one
     week, day = F.substring(get(1), 6, 2).try_cast("int"), F.coalesce(F.substring(get(1), 8, 1).try_cast("int"), F.lit(1))
