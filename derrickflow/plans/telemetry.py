@@ -445,10 +445,14 @@ def stream_routed(spark, folder):
 
 @query
 def replay_failed(spark, folder):
-    """Replay of the records that failure notices name: of every raw realtime object, as a shard, the lines 2 to 5; by outcome and rule, first as a dry run, then routed."""
-    log = table(spark, folder, "raw_lines").where("source_kind = 'realtime_json'").withColumnsRenamed({"source_uri": "shard", "line_no": "sequence"})
-    notices = log.select("shard").distinct().select("shard", F.lit(2).alias("first"), F.lit(5).alias("last"))
-    lines = lanes.failed_range(log, notices).withColumnsRenamed({"shard": "source_uri", "sequence": "line_no"})
+    """Replay of the batches of ten records of which one is rejected, as failure notices name them: by outcome and rule, first as a dry run, then routed."""
+    t = table(spark, folder, "telemetry").where("source_kind = 'realtime_json'")
+    at = F.col("_metadata.file_path").alias("shard"), F.col("_metadata.row_index").alias("sequence")
+    log = materialise(t.select(*at, "source_uri", *contract.FIELDS, "ingested_at"), "log")
+    bad = pub.validated(log, registered(spark, folder)).where(F.col("rule_id") != contract.OK)
+    first = (F.floor(F.col("sequence") / 10) * 10).alias("first")
+    notices = bad.select("shard", first).distinct().withColumn("last", F.col("first") + 9)
+    lines = lanes.failed_range(log, notices).select("source_uri", F.lit("realtime_json").alias("source_kind"), F.col("sequence").cast("int").alias("line_no"), F.to_json(F.struct(*contract.FIELDS)).alias("payload"), "ingested_at")
     dry = parse.parse_lines(lines, registered(spark, folder)).groupBy(F.lit("dry run").alias("mode"), reconcile.would(), "rule_id").agg(F.count("*").alias("n"))
     r = lanes.Router(spark, registered(spark, folder), scratch(spark, "replay"))
     r.each(lines, 0)

@@ -127,10 +127,17 @@ def routed(spark: SparkSession, lines: DataFrame, pumps: DataFrame, folder: str)
     return r
 
 
+#: Sequence numbers of a stretch.
+STRETCH = 1024
+
+
 def failed_range(log: DataFrame, failures: DataFrame) -> DataFrame:
     """The records of a log (shard, sequence, and more) that failure notices name (shard, first, last): each once, however many notices name it."""
-    named = log.join(failures.select("shard", "first", "last").distinct(), "shard").where(F.col("sequence").between(F.col("first"), F.col("last")))
-    return named.drop("first", "last").dropDuplicates(["shard", "sequence"])
+    stretch = lambda c: F.floor(F.col(c) / STRETCH)
+    # notices and records meet by stretches of sequence numbers, so that a shard's many notices don't each meet all its records
+    named = failures.select("shard", "first", "last").distinct().withColumn("_stretch", F.explode(F.sequence(stretch("first"), stretch("last"))))
+    found = log.withColumn("_stretch", stretch("sequence")).join(named, ["shard", "_stretch"]).where(F.col("sequence").between(F.col("first"), F.col("last")))
+    return found.select(*log.columns).dropDuplicates(["shard", "sequence"])
 
 
 def hourly(spark: SparkSession, readings: DataFrame, folder: str) -> DataFrame:
